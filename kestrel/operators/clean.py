@@ -281,3 +281,13 @@ def basic_text_cleanup(df: DataFrame, numeric: Sequence[str], text: Sequence[str
     cleaned = stripped.withColumns({c: nullify_tokens(F.trim(F.col(c).cast("string")), tokens) for c in text})
     cleaned = cleaned.fillna({c: MISSING_TEXT for c in text})
     return fill_median(cleaned, numeric)
+
+
+# D1 guard
+def require_date_spread(df: DataFrame, date_col: str, min_years: int = 2) -> DataFrame:
+    """Fail when the dates fall in fewer than ``min_years`` distinct years:
+    the symptom of epoch seconds parsed with the wrong unit."""
+    n = df.agg(F.count_distinct(F.year(date_col)).alias("n")).first()["n"]
+    if n < min_years:
+        raise ValueError(f"{date_col} spans {n} distinct year(s); check the epoch unit of the source")
+    return df

@@ -11,7 +11,8 @@ from kestrel.operators import metrics as mt
 from kestrel.plans import score_views as sv
 from kestrel.plans import sqlgen as sg
 from kestrel.plans.q_metrics import (_FOLD_SQL, _GAP_COLS, _SUMMARY_COLS, _TRAIN_FOLD_SQL, _conf_sql, _div0,
-                                     _gap_sql, _rank_metrics_sql, _summary_sql, fold_results, test_scores)
+                                     _gap_sql, _rank_metrics_sql, _summary_sql, fold_results, score_table,
+                                     test_scores)
 from kestrel.plans.q_profile import AUCTION_COLS
 from kestrel.plans.registry import register
 from kestrel.plans.views import with_views
@@ -30,26 +31,27 @@ N_PREDICTORS = len(AUCTION_COLS) - 2
 
 
 # ---------------------------------------------------------------- Spark side
-def _oof(spark, sf):
-    out = mt.oof_metrics(test_scores(spark, sf))
+def _oof(spark, sf, sc):
+    out = mt.oof_metrics(test_scores(spark, sf, sc))
     method = F.create_map(*[F.lit(x) for kv in sv.SCORE_METHOD.items() for x in kv])
     return out.withColumn("score_method", method[F.col("model_key")])
 
 
-def _cv(spark, sf):
-    return mt.cv_summary(fold_results(spark, sf))
+def _cv(spark, sf, sc):
+    return mt.cv_summary(fold_results(spark, sf, "test", sc))
 
 
-def _gap(spark, sf):
-    return mt.train_test_gap(fold_results(spark, sf, "train"), fold_results(spark, sf, "test"))
+def _gap(spark, sf, sc):
+    return mt.train_test_gap(fold_results(spark, sf, "train", sc), fold_results(spark, sf, "test", sc))
 
 
-def comparison(spark, sf):
-    return lb.comparison_table(_cv(spark, sf), _oof(spark, sf), _gap(spark, sf))
+def comparison(spark, sf, sc=None):
+    sc = sc if sc is not None else score_table(spark, sf)
+    return lb.comparison_table(_cv(spark, sf, sc), _oof(spark, sf, sc), _gap(spark, sf, sc))
 
 
 def manifest(spark, sf):
-    n = proxies.auction(spark, sf).agg(F.count(F.lit(1)).alias("train_rows"))
+    n = proxies.auction(spark, sf, ["row_id"]).agg(F.count(F.lit(1)).alias("train_rows"))
     models = spark.createDataFrame(list(ESTIMATOR.items()), "model_key string, estimator string")
     return models.crossJoin(n).select(
         "model_key", "estimator", F.concat(F.lit("models/baseline_"), F.col("model_key")).alias("artifact_path"),
@@ -125,7 +127,8 @@ _CMP_ALL = CMP_OTHER + CMP_DOUBLES
     f"SELECT c.model_key, {_sel(_SUMMARY_COLS, _SUMMARY_COLS)}, o.score_method, "
     f"{', '.join(f'round(o.{x}, 6) AS {x}' for x in OOF_COLS)} FROM cv_sum c LEFT JOIN oof o ON c.model_key = o.model_key"))
 def j1_cv_oof_one_to_one_join(spark, sf):
-    t = lb.left_join_one_to_one(_cv(spark, sf).drop("primary_metric", "cv_folds"), _oof(spark, sf), "model_key")
+    sc = score_table(spark, sf)
+    t = lb.left_join_one_to_one(_cv(spark, sf, sc).drop("primary_metric", "cv_folds"), _oof(spark, sf, sc), "model_key")
     return _round_doubles(t)
 
 
@@ -134,7 +137,8 @@ def j1_cv_oof_one_to_one_join(spark, sf):
     f"{', '.join(f'round(g.{x}, 6) AS {x}' for x in GAP_KEPT)}, g.f1_diagnosis "
     f"FROM cv_sum c LEFT JOIN gap g ON c.model_key = g.model_key"))
 def j2_gap_join_new_columns(spark, sf):
-    t = lb.left_join_new_columns(_cv(spark, sf).drop("primary_metric", "cv_folds"), _gap(spark, sf), "model_key")
+    sc = score_table(spark, sf)
+    t = lb.left_join_new_columns(_cv(spark, sf, sc).drop("primary_metric", "cv_folds"), _gap(spark, sf, sc), "model_key")
     return _round_doubles(t)
 
 
@@ -189,8 +193,9 @@ LEFT JOIN cmp x ON mf.model_key = x.model_key)"""
 
 
 def experiment_log_df(spark, sf, with_timestamp: bool):
-    cv, oof = _cv(spark, sf), _oof(spark, sf)
-    cmp = lb.comparison_table(cv, oof, _gap(spark, sf))
+    sc = score_table(spark, sf)
+    cv, oof = _cv(spark, sf, sc), _oof(spark, sf, sc)
+    cmp = lb.comparison_table(cv, oof, _gap(spark, sf, sc))
     return lb.experiment_log(manifest(spark, sf), cv, oof, cmp, 3, "modeling_baseline", with_timestamp)
 
 

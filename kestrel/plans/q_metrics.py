@@ -17,8 +17,16 @@ def _r(c, name=None):
     return F.round(F.col(c), R).alias(name or c)
 
 
-def test_scores(spark, sf):
-    return sv.scores(spark, sf).where(F.col("split") == "test")
+def score_table(spark, sf):
+    """The score table materialised once (reliable checkpoint in the shared
+    checkpoint folder) for queries that read it from several branches, so
+    auction, folds and scores are not rebuilt for each branch."""
+    return sv.scores(spark, sf).checkpoint(eager=True)
+
+
+def test_scores(spark, sf, sc=None):
+    sc = sc if sc is not None else sv.scores(spark, sf)
+    return sc.where(F.col("split") == "test")
 
 
 def _with_scores(body: str, *extra: str) -> str:
@@ -75,7 +83,7 @@ SELECT t.model_key, CASE t.model_key WHEN 'svm' THEN 'decision_function' ELSE 'p
 FROM (SELECT model_key, {_thr_metrics_sql("oof_")} FROM ({_conf_sql("model_key", "test")}) c) t
 JOIN ({_rank_metrics_sql("model_key", "test", "oof_")}) r ON t.model_key = r.model_key"""))
 def v2_oof_metrics(spark, sf):
-    out = mt.oof_metrics(test_scores(spark, sf))
+    out = mt.oof_metrics(test_scores(spark, sf, score_table(spark, sf)))
     method = F.create_map(*[F.lit(x) for kv in sv.SCORE_METHOD.items() for x in kv])
     return out.select("model_key", method[F.col("model_key")].alias("score_method"),
                       *[_r(f"oof_{m}") for m in ("accuracy", "precision", "recall", "f1", "roc_auc",
@@ -102,7 +110,7 @@ def v4_threshold_metrics_by_fold(spark, sf):
 SELECT model_key, round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision
 FROM ({_rank_metrics_sql("model_key", "test", "")}) r"""))
 def v5_v6_ranking_metrics(spark, sf):
-    out = mt.ranking_metrics(test_scores(spark, sf), ["model_key"])
+    out = mt.ranking_metrics(test_scores(spark, sf, score_table(spark, sf)), ["model_key"])
     return out.select("model_key", _r("roc_auc"), _r("average_precision"))
 
 
@@ -118,7 +126,7 @@ FROM (SELECT *, lead(pos) OVER o AS npos, lead(neg) OVER o AS nneg
       FROM ({_cum_sql("model_key", "test")}) c WINDOW o AS (PARTITION BY model_key ORDER BY cum_rows)) x
 WHERE cum_rows = 1 OR cum_rows = n_thr OR npos <> pos OR nneg <> neg OR n_thr <= 2"""))
 def v7_roc_curve(spark, sf):
-    out = mt.roc_curve(test_scores(spark, sf), ["model_key"])
+    out = mt.roc_curve(test_scores(spark, sf, score_table(spark, sf)), ["model_key"])
     return out.select("model_key", "threshold", _r("fpr"), _r("tpr"))
 
 
@@ -130,7 +138,7 @@ FROM ({_cum_sql("model_key", "test")}) c
 UNION ALL
 SELECT DISTINCT model_key, NULL::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE FROM scores WHERE split = 'test'"""))
 def v8_pr_curve(spark, sf):
-    out = mt.pr_curve(test_scores(spark, sf), ["model_key"])
+    out = mt.pr_curve(test_scores(spark, sf, score_table(spark, sf)), ["model_key"])
     return out.select("model_key", "threshold", _r("precision"), _r("recall"))
 
 
@@ -176,8 +184,8 @@ FROM (SELECT model_key, fold, {_thr_metrics_sql("train_").replace("round(", "(")
 JOIN ({_rank_metrics_sql("model_key, fold", "train", "train_")}) r ON t.model_key = r.model_key AND t.fold = r.fold)"""
 
 
-def fold_results(spark, sf, split: str = "test"):
-    sc = sv.scores(spark, sf)
+def fold_results(spark, sf, split: str = "test", sc=None):
+    sc = sc if sc is not None else sv.scores(spark, sf)
     part = sc.where(F.col("split") == split)
     res = mt.fold_metrics(part, ["model_key", "fold"], prefix=f"{split}_")
     if split == "test":
@@ -190,7 +198,7 @@ def fold_results(spark, sf, split: str = "test"):
         "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc", "fit_time", "score_time"))
     + " FROM fold_res", _FOLD_SQL))
 def v1_cv_fold_results(spark, sf):
-    res = fold_results(spark, sf)
+    res = fold_results(spark, sf, sc=score_table(spark, sf))
     return res.select("model_key", "fold", *[_r(c) for c in (
         "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc", "fit_time", "score_time")])
 
@@ -211,7 +219,7 @@ FROM fold_res GROUP BY model_key)"""
     "SELECT model_key, primary_metric, cv_folds, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SUMMARY_COLS)
     + " FROM cv_sum", _FOLD_SQL, _summary_sql()))
 def v10_cv_summary(spark, sf):
-    s = mt.cv_summary(fold_results(spark, sf))
+    s = mt.cv_summary(fold_results(spark, sf, sc=score_table(spark, sf)))
     return s.select("model_key", "primary_metric", "cv_folds", *[_r(c) for c in _SUMMARY_COLS])
 
 
@@ -236,7 +244,8 @@ JOIN (SELECT model_key, {", ".join(f"avg(test_{m}) AS test_{m}_mean" for m in mt
     "SELECT model_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in _GAP_COLS) + ", f1_diagnosis FROM gap",
     _FOLD_SQL, _TRAIN_FOLD_SQL, _gap_sql()))
 def v11_train_test_gap(spark, sf):
-    g = mt.train_test_gap(fold_results(spark, sf, "train"), fold_results(spark, sf, "test"))
+    sc = score_table(spark, sf)
+    g = mt.train_test_gap(fold_results(spark, sf, "train", sc), fold_results(spark, sf, "test", sc))
     return g.select("model_key", *[_r(c) for c in _GAP_COLS], "f1_diagnosis")
 
 
@@ -252,7 +261,7 @@ SELECT model_key, metric, value, minimum, value >= minimum AS meets_kpi FROM (
   SELECT model_key, 'oof_roc_auc', round(oof_roc_auc, 6), 0.75 FROM ({_rank_metrics_sql("model_key", "test", "oof_")}) r
 ) k"""))
 def p17_kpi_check(spark, sf):
-    m = mt.oof_metrics(test_scores(spark, sf))
+    m = mt.oof_metrics(test_scores(spark, sf, score_table(spark, sf)))
     long = m.select("model_key", F.inline(F.array(*[
         F.struct(F.lit(k).alias("metric"), F.round(F.col(k), 6).alias("value")) for k in _KPI])))
     thresholds = spark.createDataFrame(list(_KPI.items()), "metric string, minimum double")

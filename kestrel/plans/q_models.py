@@ -135,10 +135,41 @@ def i6_knn_impute(spark, sf):
 
 
 # ---------------------------------------------------------------- B5 (SMOTE)
-@register("b5_smote_embeddings")
+_SMOTE_SQL = f"""
+WITH e AS (SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS is_zero FROM embeddings),
+cnt AS (SELECT is_zero, count(*) AS n FROM e GROUP BY is_zero),
+mm AS (SELECT arg_min(is_zero, n) AS min_cls, min(n) AS n_min, arg_max(is_zero, n) AS maj_cls FROM cnt),
+mino AS (SELECT e.* FROM e, mm WHERE e.is_zero = mm.min_cls),
+pairs AS (SELECT t.vec_id, r.vec_id AS nb, {_DIST} AS dist FROM mino t, mino r WHERE t.vec_id <> r.vec_id),
+nn AS (SELECT vec_id, nb, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb) AS nn_rank FROM pairs),
+rmin AS (SELECT vec_id, embedding,
+                row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '-42'), vec_id) AS rk FROM mino),
+rmaj AS (SELECT row_number() OVER (ORDER BY md5(CAST(e.vec_id AS VARCHAR) || '-42'), e.vec_id) AS rk
+         FROM e, mm WHERE e.is_zero = mm.maj_cls),
+draws AS (SELECT rk - n_min - 1 AS i, n_min, md5(CAST(rk - n_min - 1 AS VARCHAR) || '-42') AS h
+          FROM rmaj, mm WHERE rk > n_min),
+d2 AS (SELECT i, (i % n_min) + 1 AS brk, (('0x' || substr(h, 1, 8))::BIGINT % 5) + 1 AS nn_rank,
+              ('0x' || substr(h, 9, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM draws),
+syn AS (SELECT -(d2.i + 1) AS vec_id, (SELECT min_cls FROM mm) AS is_zero,
+               list_transform(list_zip(b.embedding, nv.embedding),
+                              lambda p: CAST(p[1] AS DOUBLE) + d2.u * (CAST(p[2] AS DOUBLE) - CAST(p[1] AS DOUBLE))) AS v
+        FROM d2 JOIN rmin b ON b.rk = d2.brk
+        JOIN nn ON nn.vec_id = b.vec_id AND nn.nn_rank = d2.nn_rank
+        JOIN mino nv ON nv.vec_id = nn.nb),
+allr AS (SELECT vec_id, is_zero, 0 AS is_synthetic, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM e
+         UNION ALL SELECT vec_id, is_zero, 1, v FROM syn)
+SELECT vec_id, is_zero, is_synthetic, round(v[1], 6) AS emb0, round(v[2], 6) AS emb1,
+       round(list_sum(v), 6) AS emb_sum FROM allr"""
+
+
+@register("b5_smote_embeddings", _SMOTE_SQL)
 def b5_smote_embeddings(spark, sf):
     e = proxies.emb(spark, sf).select("vec_id", "embedding", "is_zero")
-    return knn.smote(e, "vec_id", "embedding", "is_zero", 5)
+    out = knn.smote(e, "vec_id", "embedding", "is_zero", 5)
+    v = F.col("embedding")
+    return out.select("vec_id", "is_zero", "is_synthetic", F.round(v[0], 6).alias("emb0"),
+                      F.round(v[1], 6).alias("emb1"),
+                      F.round(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), 6).alias("emb_sum"))
 
 
 # ---------------------------------------------------------------- S1 / S3 (CSV round trip)

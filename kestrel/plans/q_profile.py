@@ -32,7 +32,7 @@ SELECT Make, round(avg(CAST(IsBadBuy AS DOUBLE)), 6) AS target_rate, count(*) AS
 FROM auction WHERE Make IS NOT NULL GROUP BY Make
 ORDER BY target_rate DESC, Make LIMIT 10""", "auction"))
 def a1_target_rate_by_make(spark, sf):
-    out = agg.target_rate_by_category(proxies.auction(spark, sf), "Make", "IsBadBuy", top=10)
+    out = agg.target_rate_by_category(proxies.auction(spark, sf, ["Make", "IsBadBuy"]), "Make", "IsBadBuy", top=10)
     return out.select("Make", r6("target_rate").alias("target_rate"), "n_rows")
 
 
@@ -156,7 +156,7 @@ def p8_describe_text(spark, sf):
 SELECT Make AS value, count(*) AS count FROM auction WHERE Make IS NOT NULL
 GROUP BY Make ORDER BY count DESC, value LIMIT 10""", "auction"))
 def p10_value_counts_make_top10(spark, sf):
-    return pr.value_counts(proxies.auction(spark, sf), "Make", top=10)
+    return pr.value_counts(proxies.auction(spark, sf, ["Make"]), "Make", top=10)
 
 
 @register("p10_value_counts_with_null", with_views("""
@@ -170,7 +170,7 @@ SELECT Auction AS value, count(*) AS count,
        count(*) / (SELECT count(*) FROM auction WHERE Auction IS NOT NULL)::DOUBLE AS share
 FROM auction WHERE Auction IS NOT NULL GROUP BY Auction""", "auction"))
 def p11_value_shares(spark, sf):
-    return pr.value_counts(proxies.auction(spark, sf), "Auction", normalize=True)
+    return pr.value_counts(proxies.auction(spark, sf, ["Auction"]), "Auction", normalize=True)
 
 
 # ---------------------------------------------------------------- P12
@@ -273,7 +273,7 @@ def p18_iqr_outliers(spark, sf):
 @register("a3_counts_by_year_target", with_views("""
 SELECT VehYear, IsBadBuy, count(*) AS n_rows FROM auction GROUP BY VehYear, IsBadBuy""", "auction"))
 def a3_counts_by_year_target(spark, sf):
-    return agg.counts_by(proxies.auction(spark, sf), ["VehYear", "IsBadBuy"])
+    return agg.counts_by(proxies.auction(spark, sf, ["VehYear", "IsBadBuy"]), ["VehYear", "IsBadBuy"])
 
 
 @register("a4_box_by_class", with_views(f"""
@@ -290,4 +290,4 @@ FROM auction a JOIN (
 WHERE a.VehBCost IS NOT NULL
 GROUP BY b.IsBadBuy, b.q1, b.median, b.q3""", "auction"))
 def a4_box_by_class(spark, sf):
-    return agg.box_summary(proxies.auction(spark, sf), "VehBCost", ["IsBadBuy"])
+    return agg.box_summary(proxies.auction(spark, sf, ["VehBCost", "IsBadBuy"]), "VehBCost", ["IsBadBuy"])

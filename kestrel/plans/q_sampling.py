@@ -43,13 +43,13 @@ balanced AS (SELECT row_id, IsBadBuy, 0 AS is_copy FROM {src}
 
 @register("b1_stratified_split", with_views("SELECT row_id, IsBadBuy, split FROM split_a", "auction", extra=(SPLIT,)))
 def b1_stratified_split(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", "IsBadBuy")
+    a = proxies.auction(spark, sf, ["row_id", "IsBadBuy"])
     return sp.stratified_split(a, "IsBadBuy", "row_id", 0.2)
 
 
 @register("b2_stratified_folds", with_views("SELECT row_id, IsBadBuy, fold FROM fold_a", "auction", extra=(FOLDS,)))
 def b2_stratified_folds(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", "IsBadBuy")
+    a = proxies.auction(spark, sf, ["row_id", "IsBadBuy"])
     return sp.stratified_folds(a, "IsBadBuy", "row_id", 5)
 
 
@@ -57,14 +57,14 @@ def b2_stratified_folds(spark, sf):
     "SELECT row_id, IsBadBuy, CAST(is_copy AS INTEGER) AS is_copy FROM balanced", "auction",
     extra=(_oversample_sql("auction"),)))
 def b3_random_oversample(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", "IsBadBuy")
+    a = proxies.auction(spark, sf, ["row_id", "IsBadBuy"])
     return sp.random_oversample(a, "IsBadBuy", "row_id")
 
 
 @register("b4_random_undersample", with_views(
     "SELECT row_id, IsBadBuy FROM ranked WHERE rk <= (SELECT min(n_c) FROM ranked)", "auction", extra=(RANKED,)))
 def b4_random_undersample(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", "IsBadBuy")
+    a = proxies.auction(spark, sf, ["row_id", "IsBadBuy"])
     return sp.random_undersample(a, "IsBadBuy", "row_id")
 
 
@@ -73,7 +73,7 @@ SELECT a.row_id, a.IsBadBuy, round(t.n / (t.k * c.n_c), 6) AS class_weight
 FROM auction a JOIN (SELECT IsBadBuy, count(*) AS n_c FROM auction GROUP BY IsBadBuy) c ON a.IsBadBuy = c.IsBadBuy
 CROSS JOIN (SELECT count(*)::DOUBLE AS n, count(DISTINCT IsBadBuy) AS k FROM auction) t""", "auction"))
 def b7_class_weights(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", "IsBadBuy")
+    a = proxies.auction(spark, sf, ["row_id", "IsBadBuy"])
     out = sp.class_weights(a, "IsBadBuy")
     return out.select("row_id", "IsBadBuy", F.round("class_weight", 6).alias("class_weight"))
 
@@ -88,7 +88,7 @@ SELECT 'train_balanced', count(*), round(avg(CAST(IsBadBuy AS DOUBLE)), 6), 'Ran
     "auction", extra=(SPLIT, "train_a AS (SELECT * FROM split_a WHERE split = 'train')",
                       _oversample_sql("train_a"))))
 def a7_balance_summary(spark, sf):
-    a = sp.stratified_split(proxies.auction(spark, sf).select("row_id", "IsBadBuy"), "IsBadBuy", "row_id", 0.2)
+    a = sp.stratified_split(proxies.auction(spark, sf, ["row_id", "IsBadBuy"]), "IsBadBuy", "row_id", 0.2)
     train = a.where(F.col("split") == "train").drop("split")
     test = a.where(F.col("split") == "test").drop("split")
     bal = sp.random_oversample(train, "IsBadBuy", "row_id")

@@ -38,7 +38,7 @@ def _score_int(y, rid, cost):
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = proxies.auction(spark, sf_dir).select("row_id", "IsBadBuy", "VehBCost")
+    a = proxies.auction(spark, sf_dir, ["row_id", "IsBadBuy", "VehBCost"])
     f = stratified_folds(a, "IsBadBuy", "row_id", N_FOLDS)
     y, rid = F.col("IsBadBuy"), F.col("row_id")
     s = _score_int(y, rid, F.col("VehBCost"))

@@ -24,13 +24,22 @@ def _cents(c) -> F.Column:
     return F.round(F.col(c) * 100).cast("bigint")
 
 
-def auction(spark: SparkSession, sf_dir: str) -> DataFrame:
+LINE_DERIVED = {"Model", "Size", "VehicleAge", "VehYear", "VehOdo", "MMRAcquisitionAuctionAveragePrice",
+                "WarrantyCost"}
+
+
+def auction(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
     """One row per order, shaped like the auction purchase table.
 
     row_id, IsBadBuy, PurchDate, Auction, Make, Model, Size, VehicleAge,
     VehYear, VehOdo, VehBCost, MMRAcquisitionAuctionAveragePrice,
     WarrantyCost. Orders without lines get nulls (left join), which gives the
     profiling and imputation operators real missing values.
+
+    ``cols`` (optional) names the columns a query needs: when none of them
+    comes from the line items, the line-item aggregation and the part join
+    are not built at all (the planner cannot drop a left join it cannot
+    prove row-preserving).
     """
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -52,26 +61,37 @@ def auction(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row dimension: broadcast is bounded
     base = (orders
             .join(customer, orders.o_custkey == customer.c_custkey)
-            .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
-            .join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-            .join(part, F.col("min_partkey") == part.p_partkey, "left"))
+            .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey))
+    need_lines = cols is None or bool(LINE_DERIVED & set(cols))
+    if need_lines:
+        base = (base.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+                .join(part, F.col("min_partkey") == part.p_partkey, "left"))
     age = (F.col("p_size") % AGE_MODULUS).cast("int")
-    return base.select(
-        F.col("o_orderkey").alias("row_id"),
-        (F.col("o_orderpriority") == URGENT_PRIORITY).cast("int").alias("IsBadBuy"),
-        F.col("o_orderdate").alias("PurchDate"),
-        F.col("c_mktsegment").alias("Auction"),
-        F.col("n_name").alias("Make"),
-        F.col("p_brand").alias("Model"),
-        F.col("p_type").alias("Size"),
-        age.alias("VehicleAge"),
-        (F.year("o_orderdate") - age).cast("int").alias("VehYear"),
-        (F.col("sum_c") / 100.0).alias("VehOdo"),
-        F.col("o_totalprice").alias("VehBCost"),
-        (F.expr("(2 * sum_c + n_lines) div (2 * n_lines)") / 100.0)
-        .alias("MMRAcquisitionAuctionAveragePrice"),
-        (F.expr("(sum_w4 + 50) div 100") / 100.0).alias("WarrantyCost"),
-    )
+    out = {
+        "row_id": F.col("o_orderkey"),
+        "IsBadBuy": (F.col("o_orderpriority") == URGENT_PRIORITY).cast("int"),
+        "PurchDate": F.col("o_orderdate"),
+        "Auction": F.col("c_mktsegment"),
+        "Make": F.col("n_name"),
+    }
+    if need_lines:
+        out.update({
+            "Model": F.col("p_brand"),
+            "Size": F.col("p_type"),
+            "VehicleAge": age,
+            "VehYear": (F.year("o_orderdate") - age).cast("int"),
+            "VehOdo": F.col("sum_c") / 100.0,
+        })
+    out["VehBCost"] = F.col("o_totalprice")
+    if need_lines:
+        out.update({
+            "MMRAcquisitionAuctionAveragePrice": F.expr("(2 * sum_c + n_lines) div (2 * n_lines)") / 100.0,
+            "WarrantyCost": F.expr("(sum_w4 + 50) div 100") / 100.0,
+        })
+    order = ["row_id", "IsBadBuy", "PurchDate", "Auction", "Make", "Model", "Size", "VehicleAge", "VehYear",
+             "VehOdo", "VehBCost", "MMRAcquisitionAuctionAveragePrice", "WarrantyCost"]
+    keep = [c for c in order if c in out and (cols is None or c in cols)]
+    return base.select(*[out[c].alias(c) for c in keep])
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

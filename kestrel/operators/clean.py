@@ -160,6 +160,8 @@ def median_stats(df: DataFrame, cols: Sequence[str], where: Column | None = None
 def fill_median(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = None) -> DataFrame:
     """NULL -> exact median of the column (numeric columns become double)."""
     cols = list(cols)
+    if not cols:
+        return df
     stats = stats if stats is not None else median_stats(df, cols)
     stats = stats.select(*[F.col(c).alias(f"_med_{c}") for c in cols])
     j = _one_row_join(df, stats)

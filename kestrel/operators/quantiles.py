@@ -69,11 +69,14 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], value_col: str,
     bounds = bounds.select(*keys, "_n",
                            *[lo[i].alias(f"_lo{i}") for i in range(m)],
                            *[hi[i].alias(f"_hi{i}") for i in range(m)])
+    # null-safe on the group keys: a NULL group is a group, as in groupBy
+    renamed = bounds.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+                            *[c for c in bounds.columns if c not in keys])
     if not [k for k in keys if k != "column_name"]:
         # one row per column name: size bounded by the column list
-        bounds = F.broadcast(bounds)
-
-    j = long.join(bounds, keys)
+        renamed = F.broadcast(renamed)
+    j = long.join(renamed, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]) \
+        .drop(*[f"_key{i}" for i in range(len(keys))])
     in_band = F.lit(False)
     for i in range(m):
         in_band = in_band | ((x >= F.col(f"_lo{i}")) & (x <= F.col(f"_hi{i}")))

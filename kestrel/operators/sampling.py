@@ -59,6 +59,13 @@ def stratified_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int
     return r.withColumn(out, (((F.col("_rank") - 1) % k) + 1).cast("int")).drop("_rank", "_n_stratum")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared ``spark.checkpoint.dir``
+    for a table that several branches read (their pruned projections differ,
+    so the planner would otherwise recompute it per branch)."""
+    return df.checkpoint(eager=True)
+
+
 def _class_sizes(ranked: DataFrame, target: str) -> DataFrame:
     return ranked.groupBy(target).agg(F.max("_n_stratum").alias("_n_c"))
 
@@ -70,7 +77,7 @@ def random_oversample(df: DataFrame, target: str, key: str, seed: int = SEED) ->
     the row of rank 1 + hash(i, c) mod n_c. The draw numbers come from the
     majority rows beyond n_c (exactly n_max - n_c of them), so no counts go
     through the driver. Adds ``is_copy`` (0 original, 1 drawn)."""
-    r = stratified_rank(df, [target], key, seed)
+    r = materialize(stratified_rank(df, [target], key, seed))
     sizes = _class_sizes(r, target)
     n_max = sizes.agg(F.max("_n_c").alias("_n_max"), F.max_by(target, "_n_c").alias("_maj"))
     # class sizes: one row per class (bounded by the number of classes)
@@ -86,13 +93,13 @@ def random_oversample(df: DataFrame, target: str, key: str, seed: int = SEED) ->
     # the draws join the numbered rows of their class on the rank: an
     # equi-join with no hot key (draws are uniform over ranks)
     copies = draws.join(r, [target, "_rank"]).select(*df.columns).withColumn("is_copy", F.lit(1))
-    return df.withColumn("is_copy", F.lit(0)).unionByName(copies)
+    return r.select(*df.columns).withColumn("is_copy", F.lit(0)).unionByName(copies)
 
 
 # B4
 def random_undersample(df: DataFrame, target: str, key: str, seed: int = SEED) -> DataFrame:
     """Keep the first n_min rows (hash order) of every class."""
-    r = stratified_rank(df, [target], key, seed)
+    r = materialize(stratified_rank(df, [target], key, seed))
     n_min = _class_sizes(r, target).agg(F.min("_n_c").alias("_n_min"))
     return r.crossJoin(F.broadcast(n_min)).where(F.col("_rank") <= F.col("_n_min")).select(*df.columns)
 

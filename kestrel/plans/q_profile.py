@@ -291,3 +291,11 @@ WHERE a.VehBCost IS NOT NULL
 GROUP BY b.IsBadBuy, b.q1, b.median, b.q3""", "auction"))
 def a4_box_by_class(spark, sf):
     return agg.box_summary(proxies.auction(spark, sf, ["VehBCost", "IsBadBuy"]), "VehBCost", ["IsBadBuy"])
+
+
+@register("a1_toxic_rate_by_source", with_views("""
+SELECT source, round(avg(CAST(toxic AS DOUBLE)), 6) AS target_rate, count(*) AS n_rows
+FROM docs WHERE source IS NOT NULL GROUP BY source""", "docs"))
+def a1_toxic_rate_by_source(spark, sf):
+    out = agg.target_rate_by_category(proxies.docs(spark, sf), "source", "toxic")
+    return out.select("source", r6("target_rate").alias("target_rate"), "n_rows")

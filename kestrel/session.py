@@ -60,7 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the analysis defaults on an existing session where unset."""
+    """Set the analysis defaults on an existing session where unset, and make
+    sure checkpoints go to the session's ``spark.checkpoint.dir``."""
     for k, v in _DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)

@@ -7,12 +7,15 @@ instead
 1. sketches every (group, column) with ``percentile_approx`` (bounded
    memory, relative rank error ``1/accuracy``),
 2. takes, for every wanted probability q, a bracket [lo, hi] from the sketch
-   at q -/+ 3/accuracy, which by the sketch guarantee contains the wanted
-   ranks,
+   at q -/+ 3/accuracy (groups of n >= 4 * accuracy rows), at q -/+ 0.05
+   (groups of 200 rows or more) or the whole range (smaller groups), so
+   that the wanted ranks lie inside it with several rows of slack beyond the
+   sketch's rank error,
 3. in one shuffle counts the rows below each bracket and the distinct values
    inside it, and
-4. ranks only the bracket values exactly (a window over about
-   ``6 * n / accuracy`` distinct values per group, whatever the data skew).
+4. ranks only the bracket values exactly (a window over at most about
+   ``6 * n / accuracy`` distinct values per large group, whatever the data
+   skew; ``accuracy`` trades sketch memory for bracket width).
 
 Interpolation is the linear rule of pandas/NumPy (``v0 + (v1 - v0) * frac``
 at position ``q * (n - 1)``), the oracle SQL uses the same expression.
@@ -25,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10000
+DEFAULT_ACCURACY = 100000
 
 
 def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -53,10 +56,16 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], value_col: str,
     keys = list(keys)
     probs = [float(q) for q in probs]
     m = len(probs)
-    margin = 3.0 / accuracy
-    lo_p = [q - margin for q in probs]
-    hi_p = [q + margin for q in probs]
-    approx_probs = [min(max(p, 0.0), 1.0) for p in lo_p + hi_p]
+    eps = 1.0 / accuracy
+    # rank slack per size tier (the sketch's rank error is <= eps * n):
+    # n >= big: q -/+ 3 eps (>= 6 rows of slack); small <= n < big: q -/+ 0.05
+    # (>= 7 rows); n < small: the whole range (at most `small` rows)
+    big, small = 4.0 / eps, 200.0
+    m1, m2 = 3.0 * eps, 0.05
+    cand = []
+    for q in probs:
+        cand += [q - m1, q + m1, q - m2, q + m2]
+    approx_probs = [min(max(p, 0.0), 1.0) for p in cand]
 
     x = F.col(value_col)
     bounds = long.groupBy(*keys).agg(
@@ -64,8 +73,18 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], value_col: str,
         F.percentile_approx(x, approx_probs, accuracy).alias("_b"),
     )
     neg_inf, pos_inf = F.lit(float("-inf")), F.lit(float("inf"))
-    lo = [neg_inf if lo_p[i] <= 0 else F.col("_b")[i] for i in range(m)]
-    hi = [pos_inf if hi_p[i] >= 1 else F.col("_b")[m + i] for i in range(m)]
+    n = F.col("_n")
+
+    def pick(idx: int, lower: bool):
+        p = cand[idx]
+        edge = (p <= 0) if lower else (p >= 1)
+        return (neg_inf if lower else pos_inf) if edge else F.col("_b")[idx]
+
+    lo, hi = [], []
+    for i in range(m):
+        lo.append(F.when(n >= big, pick(4 * i, True)).when(n >= small, pick(4 * i + 2, True)).otherwise(neg_inf))
+        hi.append(F.when(n >= big, pick(4 * i + 1, False)).when(n >= small, pick(4 * i + 3, False))
+                  .otherwise(pos_inf))
     bounds = bounds.select(*keys, "_n",
                            *[lo[i].alias(f"_lo{i}") for i in range(m)],
                            *[hi[i].alias(f"_hi{i}") for i in range(m)])

@@ -255,10 +255,10 @@ _KPI = {"oof_roc_auc": 0.75, "oof_f1": 0.50}
 
 @register("p17_kpi_check", _with_scores(f"""
 SELECT model_key, metric, value, minimum, value >= minimum AS meets_kpi FROM (
-  SELECT t.model_key, 'oof_f1' AS metric, t.oof_f1 AS value, 0.5 AS minimum
+  SELECT t.model_key, 'oof_f1' AS metric, t.oof_f1 AS value, 0.5::DOUBLE AS minimum
   FROM (SELECT model_key, {_thr_metrics_sql("oof_")} FROM ({_conf_sql("model_key", "test")}) c) t
   UNION ALL
-  SELECT model_key, 'oof_roc_auc', round(oof_roc_auc, 6), 0.75 FROM ({_rank_metrics_sql("model_key", "test", "oof_")}) r
+  SELECT model_key, 'oof_roc_auc', round(oof_roc_auc, 6), 0.75::DOUBLE FROM ({_rank_metrics_sql("model_key", "test", "oof_")}) r
 ) k"""))
 def p17_kpi_check(spark, sf):
     m = mt.oof_metrics(test_scores(spark, sf, score_table(spark, sf)))

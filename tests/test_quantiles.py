@@ -34,3 +34,18 @@ def test_ordered_cumsum_matches_window(spark):
         part = part.sort_values("s", ascending=False)
         assert list(part["cum_c"]) == list(part["c"].cumsum())
         assert list(part["cum_rows"]) == list(range(1, len(part) + 1))
+
+
+def test_exact_quantiles_small_groups_all_positions(spark):
+    rng = np.random.default_rng(4)
+    rows, data = [], {}
+    for g, n in enumerate([1, 2, 3, 4, 5, 7, 13, 14, 50, 199, 200, 201, 1178, 2500]):
+        v = rng.integers(0, max(2, n // 3), n).astype(float) + rng.random(n).round(1)
+        data[g] = v
+        rows += [(g, float(x)) for x in v]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [0.0, 0.05, 0.1, 0.25, 0.33, 0.5, 0.75, 0.9, 0.99, 1.0]
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, ["x"], probs, by=["g"]).collect()}
+    for g, v in data.items():
+        for p in probs:
+            assert got[(g, p)] is not None and abs(got[(g, p)] - np.percentile(v, p * 100)) < 1e-9, (g, p)

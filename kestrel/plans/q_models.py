@@ -179,3 +179,17 @@ def s1_s3_csv_round_trip(spark, sf):
     path = io.scratch_path(spark, "csv")
     io.write_table(nation, path, fmt="csv")
     return io.read_csv(spark, path, schema=nation.schema)
+
+
+# ---------------------------------------------------------------- E9 (preprocessor)
+@register("e9_preprocessor_vectors")
+def e9_preprocessor_vectors(spark, sf):
+    """Fit the preprocessor on the training split, transform every row:
+    vector size and number of active entries per row."""
+    from pyspark.ml.functions import vector_to_array
+
+    a = sp.stratified_split(_auction_xy(spark, sf), "IsBadBuy", "row_id", 0.2)
+    prep = tr.build_preprocessor(NUM, CAT).fit(a.where(F.col("split") == "train"))
+    arr = vector_to_array(tr.FEATURES)
+    return prep.transform(a).select("row_id", "split", F.size(arr).alias("n_features"),
+                                    F.size(F.filter(arr, lambda v: v != 0)).alias("n_active"))

@@ -34,7 +34,8 @@ def _cv(spark, sf):
     a = _auction_xy(spark, sf)
     n = a.count()
     models = {k: v for k, v in tr.model_registry(n_train=n).items() if k in CV_MODELS}
-    return tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models=models, k=5)
+    # folds and models are fitted on concurrent driver threads
+    return tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models=models, k=5, parallelism=8)
 
 
 # ---------------------------------------------------------------- V1, V2, M1-M4, M7, M11

@@ -9,7 +9,6 @@ from kestrel.operators import clean as cl
 from kestrel.operators import leaderboard as lb
 from kestrel.operators import metrics as mt
 from kestrel.plans import score_views as sv
-from kestrel.plans import sqlgen as sg
 from kestrel.plans.q_metrics import (_FOLD_SQL, _GAP_COLS, _SUMMARY_COLS, _TRAIN_FOLD_SQL, _conf_sql, _div0,
                                      _gap_sql, _rank_metrics_sql, _summary_sql, fold_results, score_table,
                                      test_scores)
@@ -76,9 +75,6 @@ SELECT t.model_key, CASE t.model_key WHEN 'svm' THEN 'decision_function' ELSE 'p
 FROM (SELECT model_key, {_thr_raw("oof_")} FROM ({_conf_sql("model_key", "test")}) c) t
 JOIN ({_rank_metrics_sql("model_key", "test", "oof_")}) r ON t.model_key = r.model_key)"""
 
-_MED_FIT = sg.quantiles("cv_sum", ["fit_time_mean"], [0.5])
-
-
 def _map_sql(col: str, mapping: dict, default: str) -> str:
     return f"CASE {col} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + f" ELSE '{default}' END"
 

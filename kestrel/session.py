@@ -7,6 +7,7 @@ creates a session and never overrides settings a cluster has already made.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,10 @@ _DEFAULTS = {
 }
 
 
+# checkpoint folder already registered, by application
+_registered: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "kestrel") -> SparkSession:
     """Local session for tests and benchmarks (UI off, UTC, AQE on)."""
@@ -46,16 +51,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (tests, local runs) a scratch folder is
-    created and registered.
+    as is. Only a local master (tests, bench) gets a scratch folder of its
+    own; any other master without the setting is an error, since a
+    machine-local folder is not visible to other executors.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if _registered.get(spark.sparkContext.applicationId) != current:
+            spark.sparkContext.setCheckpointDir(current)
+            _registered[spark.sparkContext.applicationId] = current
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
+    _registered[spark.sparkContext.applicationId] = local
     return local
 
 

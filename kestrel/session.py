@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,7 @@ _DEFAULTS = {
 
 # checkpoint folder already registered, by application
 _registered: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -44,6 +46,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -77,3 +80,22 @@ def apply_defaults(spark: SparkSession) -> None:
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, so
+    that Python tasks import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="kestrel-code-")), "kestrel.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)

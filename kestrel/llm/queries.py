@@ -6,12 +6,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, feistel, token_orc, warc
+from kestrel.llm import decontaminate, feistel, ngram_join, quality_rules, token_orc, warc
 from kestrel.sources.tables import load
 
 SHARDS = 24
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(load(spark, sf_dir, "documents"))
+
+
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -20,6 +24,10 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(load(spark, sf_dir, "pages"))
 
 
+def op6_minhash_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard_documents(load(spark, sf_dir, "documents"), SHARDS)
 
@@ -29,7 +37,7 @@ def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_orc, op5_warc_transactions, op7_feistel_shards, op10_benchmark_phrases)}
+    op1_robust_outliers, op2_token_orc, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op10_benchmark_phrases)}
 
 ORACLES: dict[str, str] = {
     "op5_warc_transactions": """
@@ -41,6 +49,17 @@ ORACLES: dict[str, str] = {
                CASE WHEN stored IS NOT NULL AND stored IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN stored IS DISTINCT FROM page_id THEN stored END AS refers_to
         FROM g""",
+    "op6_minhash_jaccard": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS r,
+                      list_filter(regexp_split_to_array(coalesce(text, ''), '[\x{20}\x{09}-\x{0D}]+'), lambda x: x <> '') AS w FROM documents),
+        g AS MATERIALIZED (SELECT DISTINCT r, hash(array_to_string(w[s : s + least(5, len(w)) - 1], ' ')) AS gram
+              FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS s FROM d WHERE len(w) > 0)),
+        n AS MATERIALIZED (SELECT r, count(*) AS n FROM g GROUP BY r),
+        l AS MATERIALIZED (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.r <> y.r GROUP BY 1, 2)
+              JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE c >= 0.8 * (na.n + nb.n - c)),
+        reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+        cls AS (SELECT reach.a AS r, min(d.doc_id) AS class_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1)
+        SELECT doc_id, class_id, (SELECT count(*) FROM l WHERE l.a = d.r) AS n_links FROM d JOIN cls USING (r)""",
     "op10_benchmark_phrases": r"""
         WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(
                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

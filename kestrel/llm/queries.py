@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, feistel, ngram_join, quality_rules, token_orc, warc
+from kestrel.llm import decontaminate, feistel, ngram_join, quality_rules, sentencepiece_viterbi, token_orc, toxicity, warc
 from kestrel.sources.tables import load
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(load(spark, sf_dir, "pages"))
 
@@ -32,12 +36,16 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard_documents(load(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_token_orc, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op10_benchmark_phrases)}
+    op1_robust_outliers, op2_token_orc, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op9_prefix_viterbi, op10_benchmark_phrases)}
 
 ORACLES: dict[str, str] = {
     "op5_warc_transactions": """

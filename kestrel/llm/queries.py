@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, feistel, ngram_join, quality_rules, sentencepiece_viterbi, token_orc, toxicity, warc
+from kestrel.llm import decontaminate, feistel, line_crf, ngram_join, pii, quality_rules, sentencepiece_viterbi, token_orc, toxicity, warc
 from kestrel.sources.tables import load
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(load(spark, sf_dir, "documents"))
+
+
 def op4_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -36,6 +40,10 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard_documents(load(spark, sf_dir, "documents"), SHARDS)
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op9_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -45,7 +53,7 @@ def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_token_orc, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op9_prefix_viterbi, op10_benchmark_phrases)}
+    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases)}
 
 ORACLES: dict[str, str] = {
     "op5_warc_transactions": """

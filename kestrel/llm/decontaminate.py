@@ -152,10 +152,10 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any test window, columns unchanged."""
-    hits = materialize(contaminated_words(docs, items, window), "hits").select("doc_id", "text_h").alias("h")
-    d = docs.withColumn("_h", F.xxhash64("text")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d._h") == F.col("h.text_h"))
-    return d.join(broadcast_if_small(hits, MAX_BROADCAST_ROWS), on, "left_anti").drop("_h")
+    hits = materialize(contaminated_words(docs, items, window), "hits")
+    hits = broadcast_if_small(hits.select(F.col("doc_id").alias("hit_doc"), F.col("text_h").alias("hit_text")), MAX_BROADCAST_ROWS)
+    on = docs["doc_id"].eqNullSafe(hits["hit_doc"]) & (F.xxhash64(docs["text"]) == hits["hit_text"])
+    return docs.join(hits, on, "left_anti")
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, n_terms: int = 3, slop: int = 5) -> DataFrame:

@@ -227,20 +227,26 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class: the one that names it.
-    Texts without words stay."""
-    s = materialize(similar_documents(docs, threshold), "similar")
-    gone = s.where(F.col("key").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").distinct()
-    gone = broadcast_if_small(materialize(gone, "gone"), MAX_BROADCAST_ROWS).alias("g")
-    d = docs.withColumn("_key", words_key(F.col("text"))).alias("d")
-    left = d.join(gone, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._key") == F.col("g.key")), "left_anti")
-    repeated = s.where(F.col("key").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return left.drop("_key")
-    # the same doc_id more than once in a class: the least row by its text
-    empty = left.where(F.col("_key").isNull())
-    once = left.where(F.col("_key").isNotNull()).join(
-        s.where(F.col("key").isNotNull()).groupBy("class_id").agg(F.min("key").alias("_least"))
-        .select(F.col("class_id").alias("_class"), "_least"), F.col("d.doc_id").eqNullSafe(F.col("_class")))
-    once = once.where(F.col("_key") == F.col("_least")).dropDuplicates(["doc_id"]).drop("_class", "_least")
-    return once.unionByName(empty).drop("_key")
+    """``docs`` with one document of each class, the one that names it, and
+    all texts without words; columns unchanged. Of rows that repeat the
+    naming doc_id, one with the least key stays."""
+    s = materialize(similar_documents(docs, threshold).where(F.col("key").isNotNull()), "similar")
+    named = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    first = materialize(s.where(named).groupBy("class_id").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")), "first")
+    # keys to drop: whatever doesn't name its class, and further keys under the naming doc_id
+    clash = (s.where(named).join(first.where("n > 1"), "class_id").where("key <> first_key").select("doc_id", "key"))
+    gone = s.where(~named).select("doc_id", "key").union(clash).distinct()
+    gone = materialize(gone.select(F.col("doc_id").alias("gone_doc"), F.col("key").alias("gone_key")), "gone")
+    gone = broadcast_if_small(gone, MAX_BROADCAST_ROWS)
+    on = docs["doc_id"].eqNullSafe(gone["gone_doc"]) & (words_key(docs["text"]) == gone["gone_key"])
+    left = docs.join(gone, on, "left_anti")
+    twice = s.where(named).groupBy("doc_id", "key").count().where("count > 1")
+    if twice.isEmpty():
+        return left
+    # the very same row more than once: only these are brought together
+    twice = broadcast_if_small(materialize(twice.select(F.col("doc_id").alias("twice_doc"), F.col("key").alias("twice_key")), "twice"), MAX_BROADCAST_ROWS)
+    on = left["doc_id"].eqNullSafe(twice["twice_doc"]) & (words_key(left["text"]) == twice["twice_key"])
+    repeated = left.join(twice, on, "left_semi")
+    once = repeated.groupBy(repeated["doc_id"], words_key(repeated["text"]).alias("once_key")).agg(
+        F.min(F.struct(*[repeated[c] for c in docs.columns])).alias("once_row"))
+    return left.join(twice, on, "left_anti").unionByName(once.select("once_row.*"))

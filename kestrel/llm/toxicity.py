@@ -24,7 +24,6 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -94,24 +93,29 @@ def choose_terms(examples: DataFrame) -> list[str]:
     return sorted(r["term"] for r in rows)
 
 
-def vectors(docs: DataFrame, terms: list[str], *keep: str) -> DataFrame:
-    """``keep`` columns with terms (indexes, ascending) and tf of each text."""
+def term_counts(texts: pd.Series, terms: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    """Per text the indexes of the terms in it, ascending, and their counts."""
     index = {t: i for i, t in enumerate(terms)}
+    wanted = frozenset(index)
+    out_t, out_f = [], []
+    for text in texts:
+        words = words_of(text)
+        c = Counter(w for w in words if w in index) if not wanted.isdisjoint(words) else {}
+        found = sorted((index[w], n) for w, n in c.items())
+        out_t.append([x[0] for x in found])
+        out_f.append([x[1] for x in found])
+    return out_t, out_f
 
-    def count(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        wanted = frozenset(index)
-        for batch in texts:
-            out_t, out_f = [], []
-            for text in batch:
-                words = words_of(text)
-                c = Counter(w for w in words if w in index) if not wanted.isdisjoint(words) else {}
-                found = sorted((index[w], n) for w, n in c.items())
-                out_t.append([x[0] for x in found])
-                out_f.append([x[1] for x in found])
-            yield pd.DataFrame({"terms": out_t, "tf": out_f})
 
-    v = F.pandas_udf(count, "terms array<int>, tf array<int>")(F.col("text"))
-    return docs.select(*keep, v.alias("v")).select(*keep, "v.terms", "v.tf")
+def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
+    """(doc_id, terms, tf) of every document."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            t, f = term_counts(texts, terms)
+            yield pd.DataFrame({"terms": t, "tf": f})
+
+    v = F.pandas_udf(run, "terms array<int>, tf array<int>")(F.col("text"))
+    return docs.select("doc_id", v.alias("v")).select("doc_id", "v.terms", "v.tf")
 
 
 class BlockMaxIndex:
@@ -237,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
     picked = F.broadcast(sample)  # at most about MAX_EXAMPLES rows
     examples = docs.select("doc_id", "text").join(picked, "doc_id")
     terms = choose_terms(examples)
-    v = materialize(vectors(docs, terms, "doc_id"), "term-vectors")
+    v = materialize(vectors(docs, terms), "term-vectors")
     df = np.zeros(max(1, len(terms)))
     for r in v.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         df[r["t"]] = r["n"]
@@ -265,6 +269,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged."""
     model, _ = fit(docs, labels)
-    cols = docs.columns
-    v = vectors(docs, model.terms, *cols)
-    return v.where(_scorer(model)("terms", "tf")["score"] < CUT).select(*cols)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            t, f = term_counts(texts, model.terms)
+            yield pd.Series([model.score(a, b)[0] for a, b in zip(t, f, strict=True)])
+
+    return docs.where(F.pandas_udf(run, "double")(docs["text"]) < CUT)

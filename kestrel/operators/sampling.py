@@ -20,16 +20,33 @@ HASH_BUCKET_HEX = 4
 
 
 def hash_key(key: str, seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
+    """md5 of the key and the seed; a NULL key hashes as the empty text."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"-{seed}")))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` in which NULL equals NULL; the columns come from
+    the left side."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in cols]
+    return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in cols])
+
+
+def draw(text: Column, n: Column) -> Column:
+    """1 + a hash of ``text`` (60 bits) modulo ``n``."""
+    return (F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint") % n) + 1
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = SEED,
-                    out: str = "_rank") -> DataFrame:
+                    out: str = "_rank", bucket_hex: int = HASH_BUCKET_HEX) -> DataFrame:
     """Add ``out`` = 1-based position of the row inside its stratum in
-    (md5, key) order, and ``_n_stratum`` = stratum size."""
+    (md5, key) order, and ``_n_stratum`` = stratum size. NULL strata and NULL
+    keys are strata and keys of their own: no row is lost. A stratum is cut
+    into 16^bucket_hex hash buckets: 4 suits strata of up to some 10^10 rows,
+    take 5 or 6 beyond (the result is the same)."""
     strata = list(strata)
     d = df.withColumn("_h", hash_key(key, seed)).withColumn(
-        "_hb", F.conv(F.substring("_h", 1, HASH_BUCKET_HEX), 16, 10).cast("int"))
+        "_hb", F.conv(F.substring("_h", 1, bucket_hex), 16, 10).cast("int"))
     counts = d.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.partitionBy(*strata).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*strata)
@@ -37,7 +54,7 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int =
                             F.sum("_cnt").over(w_all).alias("_n_stratum"))
     w_in = Window.partitionBy(*strata, "_hb").orderBy("_h", key)
     numbered = d.withColumn("_rn", F.row_number().over(w_in))
-    j = numbered.join(offsets, [*strata, "_hb"])
+    j = _null_safe(numbered, offsets, [*strata, "_hb"])
     return j.withColumn(out, F.col("_off") + F.col("_rn")).drop("_h", "_hb", "_rn", "_off")
 
 
@@ -82,17 +99,16 @@ def random_oversample(df: DataFrame, target: str, key: str, seed: int = SEED) ->
     n_max = sizes.agg(F.max("_n_c").alias("_n_max"), F.max_by(target, "_n_c").alias("_maj"))
     # class sizes: one row per class (bounded by the number of classes)
     need = sizes.crossJoin(F.broadcast(n_max)).where(F.col("_n_c") < F.col("_n_max"))
-    majority = r.join(F.broadcast(n_max), (F.col(target) == F.col("_maj")))
+    majority = r.join(F.broadcast(n_max), F.col(target).eqNullSafe(F.col("_maj")))
     draws = majority.join(F.broadcast(need.select(F.col(target).alias("_cls"), "_n_c")),
                           F.col("_rank") > F.col("_n_c")) \
         .select(F.col("_cls"), (F.col("_rank") - F.col("_n_c") - 1).alias("_i"), "_n_c")
-    pick = (F.conv(F.substring(F.md5(F.concat(F.col("_i").cast("string"), F.lit("-"),
-                                               F.col("_cls").cast("string"), F.lit(f"-{seed}"))), 1, 8),
-                   16, 10).cast("bigint") % F.col("_n_c")) + 1
+    pick = draw(F.concat(F.col("_i").cast("string"), F.lit("-"),
+                         F.coalesce(F.col("_cls").cast("string"), F.lit("")), F.lit(f"-{seed}")), F.col("_n_c"))
     draws = draws.select(F.col("_cls").alias(target), pick.alias("_rank"))
     # the draws join the numbered rows of their class on the rank: an
     # equi-join with no hot key (draws are uniform over ranks)
-    copies = draws.join(r, [target, "_rank"]).select(*df.columns).withColumn("is_copy", F.lit(1))
+    copies = _null_safe(draws, r, [target, "_rank"]).select(*df.columns).withColumn("is_copy", F.lit(1))
     return r.select(*df.columns).withColumn("is_copy", F.lit(0)).unionByName(copies)
 
 
@@ -111,7 +127,7 @@ def class_weights(df: DataFrame, target: str, out: str = "class_weight") -> Data
     tot = counts.agg(F.sum("_n_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = counts.crossJoin(tot).select(target, (F.col("_n") / (F.col("_k") * F.col("_n_c"))).alias(out))
     # one row per class
-    return df.join(F.broadcast(w), target, "left")
+    return _null_safe(df, F.broadcast(w), [target], "left")
 
 
 # A7

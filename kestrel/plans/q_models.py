@@ -61,7 +61,7 @@ def _fit_on_split(spark, sf):
     a = sp.stratified_split(_auction_xy(spark, sf), "IsBadBuy", "row_id", 0.2)
     train = a.where(F.col("split") == "train")
     n = train.count()
-    models = {k: v for k, v in tr.model_registry(n_train=n).items() if k in ("lr", "dt")}
+    models = {k: v for k, v in tr.model_registry(n_train=n).items() if k in CV_MODELS}
     fitted = tr.fit_full_pipelines(train, "IsBadBuy", NUM, CAT, models=models)
     return a, fitted, n
 
@@ -115,24 +115,36 @@ def m5_knn_classifier(spark, sf):
 
 # ---------------------------------------------------------------- I6 (exact k-NN imputation)
 _IMP = ["VehBCost", "VehOdo", "MMRAcquisitionAuctionAveragePrice", "WarrantyCost", "VehicleAge"]
-_MISS = _IMP[1:]
-
-
-@register("i6_knn_impute", with_views(f"""
-, inc AS (SELECT row_id, VehBCost FROM auction WHERE {" OR ".join(f"{c} IS NULL" for c in _IMP)})
-, comp AS (SELECT * FROM auction WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _IMP)})
-, nn AS (SELECT i.row_id AS q, c.*, row_number() OVER (PARTITION BY i.row_id
-           ORDER BY sqrt((i.VehBCost - c.VehBCost) * (i.VehBCost - c.VehBCost)), c.row_id) AS rn
-         FROM inc i, comp c)
-, fill AS (SELECT q, {", ".join(f"avg(CAST({c} AS DOUBLE)) AS {c}" for c in _MISS)} FROM nn WHERE rn <= 5 GROUP BY q)
-SELECT row_id, VehBCost, {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in _MISS)} FROM comp
-UNION ALL
-SELECT i.row_id, i.VehBCost, {", ".join(f"round(f.{c}, 6) AS {c}" for c in _MISS)} FROM inc i JOIN fill f ON i.row_id = f.q
-""".lstrip(), "auction"))
+# column -> remainder of row_id mod 97 whose rows lose it, besides the orders without lines: six
+# sets of present columns, incomplete donors, and rows with nothing at all
+_MASK = {"VehOdo": 1, "WarrantyCost": 2, "VehBCost": 3}
+
+
+def _knn_impute_sql(k: int = 5) -> str:
+    """Brute force over all (incomplete row, donor) pairs, from the rule."""
+    n = len(_IMP)
+    x = ", ".join((f"CASE WHEN row_id % 97 = {_MASK[c]} THEN NULL ELSE CAST({c} AS DOUBLE) END" if c in _MASK else f"CAST({c} AS DOUBLE)")
+                  + f" AS x{i}" for i, c in enumerate(_IMP))
+    shared = " + ".join(f"CAST(q.x{i} IS NOT NULL AND d.x{i} IS NOT NULL AS INTEGER)" for i in range(n))
+    ss = " + ".join(f"coalesce((q.x{i} - d.x{i}) * (q.x{i} - d.x{i}), 0)" for i in range(n))
+    near = " UNION ALL ".join(
+        f"SELECT row_id, {j} AS j, avg(v) AS fill FROM (SELECT q.row_id, d.x{j} AS v, row_number() OVER (PARTITION BY q.row_id "
+        f"ORDER BY sqrt({ss}) * sqrt({n}.0::DOUBLE / ({shared})), d.row_id) AS rn "
+        f"FROM t q JOIN t d ON q.x{j} IS NULL AND d.x{j} IS NOT NULL AND ({shared}) > 0) WHERE rn <= {k} GROUP BY row_id" for j in range(n))
+    cols = ", ".join(f"round(coalesce(x{i}, (SELECT fill FROM near WHERE near.row_id = t.row_id AND j = {i}), "
+                     f"(SELECT avg(x{i}) FROM t)), 6) AS {c}" for i, c in enumerate(_IMP))
+    return f"""
+, t AS (SELECT row_id, {x} FROM auction)
+, near AS ({near})
+SELECT row_id, {cols} FROM t""".lstrip()
+
+
+@register("i6_knn_impute", with_views(_knn_impute_sql(), "auction"))
 def i6_knn_impute(spark, sf):
-    a = proxies.auction(spark, sf).select("row_id", *_IMP)
+    a = proxies.auction(spark, sf).select("row_id", *[
+        F.when(F.col("row_id") % 97 != _MASK[c], F.col(c)).alias(c) if c in _MASK else F.col(c) for c in _IMP])
     out = knn.knn_impute(a, _IMP, "row_id", 5)
-    return out.select("row_id", "VehBCost", *[F.round(c, 6).alias(c) for c in _MISS])
+    return out.select("row_id", *[F.round(c, 6).alias(c) for c in _IMP])
 
 
 # ---------------------------------------------------------------- B5 (SMOTE)

@@ -34,7 +34,7 @@ need AS (SELECT s.IsBadBuy AS cls, s.n_c FROM sizes s, mx WHERE s.n_c < mx.n_max
 draws AS (SELECT need.cls, r.rk - need.n_c - 1 AS i, need.n_c FROM r, mx, need
           WHERE r.IsBadBuy = mx.maj AND r.rk > need.n_c),
 picks AS (SELECT cls AS IsBadBuy,
-                 (('0x' || substr(md5(CAST(i AS VARCHAR) || '-' || CAST(cls AS VARCHAR) || '-42'), 1, 8))::BIGINT
+                 (('0x' || substr(md5(CAST(i AS VARCHAR) || '-' || CAST(cls AS VARCHAR) || '-42'), 1, 15))::BIGINT
                   % n_c) + 1 AS rk FROM draws),
 balanced AS (SELECT row_id, IsBadBuy, 0 AS is_copy FROM {src}
              UNION ALL

@@ -57,3 +57,15 @@ def test_balancing_inside_folds_does_not_leak(spark):
     train = f.where("fold != 1").drop("fold")
     bal = sp.random_oversample(train, "y", "row_id")
     assert bal.join(test_ids, "row_id").count() == 0
+
+
+def test_null_strata_and_null_keys_keep_every_row(spark):
+    rows = [(None if i % 11 == 0 else i, None if i % 10 == 0 else i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "row_id long, y int")
+    for out in (sp.stratified_split(df, "y", "row_id", 0.2), sp.stratified_folds(df, "y", "row_id", 5), sp.class_weights(df, "y")):
+        assert out.count() == 100
+    assert sp.stratified_folds(df, "y", "row_id", 5).where("y IS NULL").groupBy("fold").count().count() == 5
+    over = sp.random_oversample(df, "y", "row_id").groupBy("y").count().collect()
+    assert len(over) == 3 and len({r["count"] for r in over}) == 1
+    under = sp.random_undersample(df, "y", "row_id").groupBy("y").count().collect()
+    assert {r["count"] for r in under} == {10}

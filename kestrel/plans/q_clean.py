@@ -41,9 +41,9 @@ _sparse_sql = "\nUNION ALL\n".join(
 @register("c2_sparse_columns", with_views(
     f"SELECT column_name FROM ({_sparse_sql}) s WHERE null_rate > 0.01", "auction"))
 def c2_sparse_columns(spark, sf):
-    a = proxies.auction(spark, sf)
-    rates = pr.null_rates(a)
-    return rates.where(F.col("null_rate") > 0.01).select("column_name")
+    # the decision table of the drop: one row per sparse column
+    names = cl.sparse_columns(proxies.auction(spark, sf), 0.01)
+    return spark.createDataFrame([(n,) for n in names], "column_name string")
 
 
 @register("c2_drop_columns", with_views(
@@ -56,13 +56,13 @@ def c2_drop_columns(spark, sf):
 
 _const_sql = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(DISTINCT {sg.q(c)}) + CAST(bool_or({sg.q(c)} IS NULL) AS BIGINT) AS nu "
-    f"FROM auction WHERE VehicleAge = 3" for c in AUCTION_COLS)
+    f"FROM (SELECT *, 'USD' AS Currency FROM auction) a" for c in [*AUCTION_COLS, "Currency"])
 
 
 @register("c3_constant_columns", with_views(
     f"SELECT column_name FROM ({_const_sql}) s WHERE nu <= 1", "auction"))
 def c3_constant_columns(spark, sf):
-    a = proxies.auction(spark, sf).where(F.col("VehicleAge") == 3)
+    a = proxies.auction(spark, sf).withColumn("Currency", F.lit("USD"))
     # the decision table of the drop: one row per constant column
     names = cl.constant_columns(a)
     return spark.createDataFrame([(n,) for n in names], "column_name string")

@@ -89,10 +89,8 @@ def f9_odometer_group(spark, sf):
     "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, {_guard_sql(c)} AS all_nonnegative" for c in LOG_COLS),
     "auction"))
 def f12_log1p_guard(spark, sf):
-    a = proxies.auction(spark, sf)
-    row = a.agg(*[F.every(F.coalesce(F.col(c) >= 0, F.lit(False))).alias(c) for c in LOG_COLS])
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("all_nonnegative")) for c in LOG_COLS])))
+    good = fe.nonnegative_columns(proxies.auction(spark, sf), LOG_COLS)
+    return spark.createDataFrame([(c, c in good) for c in LOG_COLS], "column_name string, all_nonnegative boolean")
 
 
 def _cut_sql(src: str, col: str, n: int, target: str | None = None) -> str:

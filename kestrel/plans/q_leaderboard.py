@@ -15,7 +15,7 @@ from kestrel.plans.q_metrics import (_FOLD_SQL, _GAP_COLS, _SUMMARY_COLS, _TRAIN
 from kestrel.plans.q_profile import AUCTION_COLS
 from kestrel.plans.registry import register
 from kestrel.plans.views import with_views
-from kestrel.sources import proxies
+from kestrel.sources import io, proxies
 
 OOF_COLS = [f"oof_{m}" for m in ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")]
 GAP_KEPT = [c for c in _GAP_COLS if not c.startswith("test_")]
@@ -215,5 +215,7 @@ def u2_log_append_missing_columns(spark, sf):
     new = (log.where(F.col("selected_for_sprint4"))
            .select(F.lit(4).alias("sprint"), F.lit("tuning").alias("stage"), "model_key", "test_f1_mean", "oof_f1")
            .withColumn("log_timestamp", F.lit(None).cast("string")))
-    out = lb.append_log(old, new).drop("log_timestamp")
-    return _round_doubles(out)
+    path = io.scratch_path(spark, "experiment-log")
+    lb.append_log_table(old, path)
+    out = lb.append_log_table(lb.append_log(None, new), path)
+    return _round_doubles(out.select(*_U2_OLD, "oof_f1"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalar import now_iso
 from kestrel.operators import knn
 from kestrel.operators import leaderboard as lb
 from kestrel.operators import metrics as mt
@@ -206,3 +207,65 @@ def e9_preprocessor_vectors(spark, sf):
     arr = vector_to_array(tr.FEATURES)
     return prep.transform(a).select("row_id", "split", F.size(arr).alias("n_features"),
                                     F.size(F.filter(arr, lambda v: v != 0)).alias("n_active"))
+
+
+# ---------------------------------------------------------------- S2 / S6 (optional and required inputs)
+@register("s2_s6_optional_inputs", """
+SELECT 'present' AS input, count(*) AS n_rows, sum(o_totalprice) IS NOT NULL AS has_total FROM orders
+UNION ALL SELECT 'missing', 0, false""")
+def s2_s6_optional_inputs(spark, sf):
+    """An optional table that exists, one that does not, the first existing of
+    several candidates, and the required-input checks on the former."""
+    there = io.first_existing(spark, [f"{sf}/no_such_orders.parquet", f"{sf}/orders.parquet"])
+    io.require_paths(spark, [there])
+    schema = "o_orderkey long, o_totalprice double"
+    present = io.require_rows(io.require_columns(io.read_optional(spark, there, schema), ["o_orderkey", "o_totalprice"]))
+    missing = io.read_optional(spark, f"{sf}/no_such_orders.parquet", schema)
+    out = [d.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_totalprice").isNotNull().alias("has_total")).select(
+        F.lit(name).alias("input"), "n_rows", "has_total") for name, d in (("present", present), ("missing", missing))]
+    return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------- S4 (partial results and resume)
+@register("s4_partial_scores_resume", """
+SELECT model_key, count(*) AS n_rows, count(DISTINCT row_id) AS n_ids, sum(y) AS n_bad
+FROM (SELECT o_orderkey AS row_id, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS y FROM orders),
+     (VALUES ('dt'), ('nb')) m(model_key) GROUP BY model_key""")
+def s4_partial_scores_resume(spark, sf):
+    """Cross-validation that writes each model's scores when they are there;
+    a second run fits only the models that the first one did not finish."""
+    a = _auction_xy(spark, sf)
+    models = tr.model_registry(include_optional=True)
+    path = io.scratch_path(spark, "partial-scores")
+    for wanted in (["nb"], ["nb", "dt"]):
+        tr.cross_validate_resumable(a, "IsBadBuy", "row_id", NUM, CAT, {k: models[k] for k in wanted}, path, k=3, parallelism=3)
+    return spark.read.parquet(path).groupBy("model_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"), F.sum("y").alias("n_bad"))
+
+
+# ---------------------------------------------------------------- M6 (optional models)
+@register("m6_optional_models", """
+SELECT model_key, count(*) AS n_rows, count(DISTINCT row_id) AS n_ids, true AS score_in_range, true AS pred_follows_score
+FROM (SELECT o_orderkey AS row_id FROM orders), (VALUES ('nb'), ('gbt')) m(model_key) GROUP BY model_key""")
+def m6_optional_models(spark, sf):
+    """Gaussian naive Bayes and boosted trees, fitted on all rows: what any fit must satisfy."""
+    a = _auction_xy(spark, sf)
+    models = tr.model_registry(n_train=a.count(), include_optional=True)
+    fitted = tr.fit_full_pipelines(a, "IsBadBuy", NUM, CAT, models={k: models[k] for k in ("nb", "gbt")})
+    out = None
+    for mk, m in fitted.items():
+        s = tr.batch_score(m, a, "row_id").agg(
+            F.lit(mk).alias("model_key"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
+            F.every(F.col("score").between(0, 1)).alias("score_in_range"),
+            F.every((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("pred_follows_score"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+# ---------------------------------------------------------------- X9 (timestamps of the log)
+@register("x9_now_iso", "SELECT count(*) AS n_rows, 1 AS n_stamps, true AS well_formed, true AS recent FROM nation")
+def x9_now_iso(spark, sf):
+    t = load(spark, sf, "nation").select(now_iso().alias("t"))
+    return t.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("t").cast("int").alias("n_stamps"),
+                 F.every(F.col("t").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}")).alias("well_formed"),
+                 F.every(F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.to_timestamp("t"))) < 3600).alias("recent"))

@@ -242,14 +242,19 @@ def p15_correlation_pairs(spark, sf):
     return out.withColumn("r", r6("r"))
 
 
-@register("p16_high_correlation", with_views(f"""
-SELECT col_b AS column_name, max(abs(r)) AS max_abs_r FROM ({_corr_sql}) c
-WHERE abs(r) > 0.9 GROUP BY col_b""", "auction"))
+# cost, a near copy of it (cost plus the vehicle's age) and the odometer total
+_P16_COLS = ["VehBCost", "CostAge", "VehOdo"]
+_p16_sql = "\nUNION ALL\n".join(
+    f"SELECT '{b}' AS column_name, abs(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) AS r FROM p16"
+    for i, a in enumerate(_P16_COLS) for b in _P16_COLS[i + 1:])
+
+
+@register("p16_high_correlation", with_views(
+    f"SELECT column_name, round(max(r), 6) AS max_abs_r FROM ({_p16_sql}) c WHERE r > 0.95 GROUP BY column_name", "auction",
+    extra=("p16 AS (SELECT VehBCost, VehBCost + VehicleAge AS CostAge, VehOdo FROM auction)",)))
 def p16_high_correlation(spark, sf):
-    a = proxies.auction(spark, sf)
-    pairs = pr.correlation_pairs(a, NUMERIC).withColumn("r", r6("r"))
-    return (pairs.where(F.abs("r") > 0.9).groupBy(F.col("col_b").alias("column_name"))
-            .agg(F.max(F.abs("r")).alias("max_abs_r")))
+    a = proxies.auction(spark, sf).withColumn("CostAge", F.col("VehBCost") + F.col("VehicleAge"))
+    return pr.high_correlation_columns(a, _P16_COLS, 0.95).select("column_name", r6("max_abs_r").alias("max_abs_r"))
 
 
 # ---------------------------------------------------------------- P18

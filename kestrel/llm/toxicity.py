@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples (operator 4).
 
-1. Terms: words whose chi-square with the label, over a bounded sample of
-   labelled training rows, is significant (at most ``MAX_TERMS``).
+1. Terms: words that are significantly more frequent in toxic texts, by
+   chi-square over the distinct texts of a bounded sample of labelled training
+   rows (at most ``MAX_TERMS``).
 2. TF-IDF vectors over these terms; document frequencies count all documents.
 3. A block-max inverted index over the sample's vectors: postings of a term
    are cut into blocks of ``BLOCK`` examples, each with its largest weight.
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
-MAX_EXAMPLES = 20_000
-MAX_TERMS = 512
+MAX_EXAMPLES = 4000
+MAX_TERMS = 256
 MIN_TERM_ROWS = 5
 #: chi-square, one degree of freedom, upper tail 1e-7
 MIN_CHI2 = 28.4
@@ -78,7 +79,9 @@ def _distinct_words(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def choose_terms(examples: DataFrame) -> list[str]:
-    """Terms by chi-square over (y, text); at most MAX_TERMS come back."""
+    """Terms that are more frequent in toxic texts, by chi-square over the
+    distinct (y, text); at most MAX_TERMS come back."""
+    examples = examples.select("y", "text").distinct()
     n = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -88,7 +91,7 @@ def choose_terms(examples: DataFrame) -> list[str]:
     a, df, total = F.col("a"), F.col("df"), n0 + n1
     b = df - a
     chi2 = total * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / (df * (total - df) * float(n1) * float(n0))
-    rows = (seen.where(df < total).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
+    rows = (seen.where(df < total).withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (a * n0 > b * n1))
             .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect())
     return sorted(r["term"] for r in rows)
 
@@ -118,6 +121,15 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     return docs.select("doc_id", v.alias("v")).select("doc_id", "v.terms", "v.tf")
 
 
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents per term of a whole task, so a term is one row a task."""
+    n: Counter[int] = Counter()
+    for b in batches:
+        for t in b["terms"]:
+            n.update(t.tolist())
+    yield pd.DataFrame({"t": list(n), "n": list(n.values())})
+
+
 class BlockMaxIndex:
     """Unit vectors of examples as postings by term, with block maxima."""
 
@@ -170,6 +182,7 @@ class ToxicityModel:
         self.index = BlockMaxIndex([(r[0], r[1]) for r in rows], len(terms))
         none = [y for _, y, t, _ in examples if not t]
         self.without = (sum(none) + 0.5) / (len(none) + 5)
+        self.scored: dict[tuple, tuple[float, list[dict]]] = {}
         self.steps = self._calibrate() if rows else (np.array([0.0]), np.array([self.without]))
 
     def _unit(self, terms, tf) -> tuple[np.ndarray, np.ndarray]:
@@ -222,8 +235,18 @@ class ToxicityModel:
         return np.array([b[0] for b in pooled]), np.array([(b[1] + 0.1) / (b[2] + 0.2) for b in pooled])
 
     def score(self, terms, tf) -> tuple[float, list[dict]]:
+        """Score and evidence of a vector; equal vectors are looked up."""
         if not len(terms):
             return self.without, []
+        key = tuple(terms), tuple(tf)
+        out = self.scored.get(key)
+        if out is None:
+            if len(self.scored) >= 20_000:
+                self.scored.clear()
+            out = self.scored[key] = self._score(terms, tf)
+        return out
+
+    def _score(self, terms, tf) -> tuple[float, list[dict]]:
         raw, rows, sims = self._raw(*self._unit(terms, tf))
         if raw is None:
             return self.without, []
@@ -243,8 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
     terms = choose_terms(examples)
     v = materialize(vectors(docs, terms), "term-vectors")
     df = np.zeros(max(1, len(terms)))
-    for r in v.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        df[r["t"]] = r["n"]
+    for r in v.select("terms").mapInPandas(_counted, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():
+        df[r["t"]] = r["n"]  # a row for each term
     idf = np.log((1 + v.count()) / (1 + df)) + 1
     rows = [(r["doc_id"], r["y"], r["terms"], r["tf"]) for r in v.join(picked, "doc_id").collect()]
     return ToxicityModel(terms, idf, sorted(rows)), v

@@ -48,28 +48,3 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) ->
         F.min(F.when(inside, F.col("_x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_x"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-
-
-# A5
-def mean_std_by(df: DataFrame, by: Sequence[str], cols: Sequence[str],
-                std_cols: Sequence[str] | None = None) -> DataFrame:
-    """Mean (and population std) per group, as ``{c}_mean`` / ``{c}_std``."""
-    std_cols = list(cols if std_cols is None else std_cols)
-    aggs = []
-    for c in cols:
-        aggs.append(F.avg(c).alias(f"{c}_mean"))
-        if c in std_cols:
-            aggs.append(F.stddev_pop(c).alias(f"{c}_std"))
-    return df.groupBy(*by).agg(*aggs)
-
-
-# A8
-def median_split_label(df: DataFrame, col: str, out: str, le_label: str, gt_label: str,
-                       missing_label: str | None = None) -> DataFrame:
-    """Label rows by comparison with the column's exact median (one-row stats, broadcast)."""
-    med = exact_quantiles(df, [col], [0.5]).select(F.col("value").alias("_med"))
-    j = df.join(F.broadcast(med), F.lit(True), "left")  # one-row stats
-    lab = F.when(F.col(col) <= F.col("_med"), F.lit(le_label)).otherwise(F.lit(gt_label))
-    if missing_label is not None:
-        lab = F.when(F.col(col).isNull(), F.lit(missing_label)).otherwise(lab)
-    return j.withColumn(out, lab).drop("_med")

@@ -80,14 +80,6 @@ def select_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") -> DataFrame:
-    """Fail with the list of missing columns."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise KeyError(f"{what} is missing required columns: {missing}")
-    return df
-
-
 # C5, C6, C7
 def filter_greater(df: DataFrame, col: str, k: float) -> DataFrame:
     """Keep rows with ``col > k`` (NULL fails the test)."""
@@ -205,8 +197,8 @@ def fill_group_median(df: DataFrame, col: str, group: str, low_to_null: float |
 # I5
 def mode_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``column_name, mode`` (as text) per column: most frequent non-null value,
-    smallest on ties (numeric order for numbers). Two aggregations and a join,
-    no per-column map in one task."""
+    smallest on ties (numeric order for numbers). Two aggregations with
+    partial results, no per-column map in one task and no join."""
     rows = []
     num = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
     txt = [c for c in cols if c not in num]
@@ -217,10 +209,8 @@ def mode_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast(cast).alias("v")) for c in group
         ]))).where(F.col("v").isNotNull())
         vc = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
-        best = vc.groupBy("column_name").agg(F.max("_n").alias("_best"))
-        top = (vc.join(best, "column_name").where(F.col("_n") == F.col("_best"))
-               .groupBy("column_name").agg(F.min("v").alias("mode")))
-        rows.append(top.select("column_name", F.col("mode").cast("string").alias("mode")))
+        top = vc.groupBy("column_name").agg(F.min(F.struct(-F.col("_n"), "v")).alias("_top"))
+        rows.append(top.select("column_name", F.col("_top.v").cast("string").alias("mode")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -8,32 +8,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.ordered import global_row_number
 from kestrel.operators.quantiles import exact_quantiles
+from kestrel.storage import broadcast_if_small, materialize
 
 # Smoothing of the target encoder (min_samples_leaf, smoothing).
 TE_MIN_SAMPLES_LEAF = 20
 TE_SMOOTHING = 10.0
+#: dummy columns become columns of the table; beyond this many the call fails and E5's sparse vectors are the way
 MAX_DUMMY_CATEGORIES = 1000
+MAX_BROADCAST_ROWS = 100_000
 
 
 # E1 / E2
 def fit_ordinal(df: DataFrame, col: str, order: Sequence[str] | None = None) -> DataFrame:
     """``(value, code)``: codes 0..k-1 in sorted order (or the given order).
-    The window runs over the distinct categories only."""
+    The categories are numbered by range partitions, not in one task."""
     if order is not None:
         rows = [(v, i) for i, v in enumerate(order)]
         return df.sparkSession.createDataFrame(rows, f"value string, code int")
     d = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    return d.select("value", (F.dense_rank().over(Window.orderBy("value")) - 1).cast("int").alias("code"))
+    return global_row_number(d, "value", out="code").select("value", F.col("code").cast("int").alias("code"))
 
 
 def transform_ordinal(df: DataFrame, col: str, codes: DataFrame, out: str | None = None) -> DataFrame:
     out = out or f"{col}_code"
-    m = codes.select(F.col("value").alias("_v"), F.col("code").alias(out))
+    m = broadcast_if_small(codes.select(F.col("value").alias("_v"), F.col("code").alias(out)), MAX_BROADCAST_ROWS)
     return df.join(m, F.col(col).cast("string") == F.col("_v"), "left").drop("_v")
 
 
@@ -85,11 +88,13 @@ def fit_target_encoder(train: DataFrame, cols: Sequence[str], target: str,
 def transform_target_encoder(df: DataFrame, cols: Sequence[str], fitted: DataFrame,
                              suffix: str = "") -> DataFrame:
     """Replace each column by its encoding; unseen and NULL take the prior."""
+    fitted = materialize(fitted, "encodings")  # read once per column, not fitted again
     prior = fitted.agg(F.first("prior").alias("_prior"))
-    out = df.join(F.broadcast(prior), F.lit(True), "left")
+    out = df.join(F.broadcast(prior), F.lit(True), "left")  # one row
     for c in cols:
         m = fitted.where(F.col("column_name") == c).select(F.col("value").alias(f"_v_{c}"),
                                                           F.col("encoding").alias(f"_e_{c}"))
+        m = broadcast_if_small(m, MAX_BROADCAST_ROWS)
         out = out.join(m, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"_e_{c}"), F.col("_prior"))).drop(f"_v_{c}", f"_e_{c}")
     return out.drop("_prior")
@@ -108,10 +113,10 @@ def fit_one_hot(train: DataFrame, col: str):
 
 def one_hot_slot(df: DataFrame, col: str, idx, ohe) -> DataFrame:
     """Active position of the one-hot vector, NULL when all zeros."""
+    # the active position is the index itself; the last index (unseen, NULL) has none
+    i = F.col(f"{col}_idx")
     v = ohe.transform(idx.transform(df))
-    arr = vector_to_array(F.col(f"{col}_vec"))
-    pos = F.array_position(arr, 1.0)
-    return v.withColumn(f"{col}_slot", F.when(pos > 0, (pos - 1).cast("int"))).drop(f"{col}_idx", f"{col}_vec")
+    return v.withColumn(f"{col}_slot", F.when(i < len(idx.labels), i.cast("int"))).drop(f"{col}_idx", f"{col}_vec")
 
 
 # E6

@@ -15,7 +15,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.storage import broadcast_if_small, materialize
+
 DEFAULT_BUCKETS = 1024
+_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's index in its partition
 
 
 def bucket_edges(df: DataFrame, col: str, n_buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-4) -> list[float]:
@@ -52,3 +55,20 @@ def ordered_cumsum(df: DataFrame, part: Sequence[str], order_col: str, sum_cols:
     out = inner.join(offsets, [*part, "_bkt"])
     names = {c: (f"{prefix}rows" if c == "_one" else f"{prefix}{c}") for c in sums}
     return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(names[c]) for c in sums])
+
+
+def global_row_number(df: DataFrame, *order: str, out: str = "row") -> DataFrame:
+    """``df`` with ``out`` = 0-based global position in ``order``: one range
+    shuffle, then per-partition counts; no task sees more than its range. The
+    scan position is the last sort key, so equal rows can be dealt over several
+    partitions."""
+    s = (df.withColumn("_tie", F.monotonically_increasing_id())
+         .repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+         .withColumn("_part", F.spark_partition_id())
+         .withColumn("_index", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))))
+    s = materialize(s, "numbered")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (s.join(broadcast_if_small(offsets, 1_000_000), "_part")
+            .withColumn(out, F.col("_offset") + F.col("_index")).drop("_part", "_index", "_offset"))

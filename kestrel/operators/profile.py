@@ -114,13 +114,10 @@ def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for c in cols
     ]))).where(F.col("v").isNotNull())
     vc = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
-    # max over (count, -order) without a window: max count, then smallest value at it
-    best = vc.groupBy("column_name").agg(
-        F.sum("_n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("_n").alias("freq"))
-    top = (vc.join(best.select("column_name", "freq"), "column_name")
-           .where(F.col("_n") == F.col("freq"))
-           .groupBy("column_name").agg(F.min("v").alias("top")))
-    return best.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
+    # most frequent, then smallest: the least (-count, value)
+    best = vc.groupBy("column_name").agg(F.sum("_n").alias("count"), F.count(F.lit(1)).alias("unique"),
+                                         F.min(F.struct((-F.col("_n")).alias("n"), "v")).alias("_top"))
+    return best.select("column_name", "count", "unique", F.col("_top.v").alias("top"), (-F.col("_top.n")).alias("freq"))
 
 
 # P10 / P11

@@ -138,30 +138,3 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """``by..., column_name, q, value, n`` for every column in ``cols``."""
     long = melt(df, cols, by)
     return quantiles_long(long, [*by, "column_name"], "x", probs, accuracy)
-
-
-def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 prefix: str = "", by: Sequence[str] = (),
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Wide form: one row (per ``by`` group) with ``{prefix}{col}__p{i}`` columns."""
-    q = exact_quantiles(df, cols, probs, by, accuracy)
-    names = [f"{c}__p{i}" for c in cols for i in range(len(probs))]
-    tag = F.concat(F.col("column_name"), F.lit("__p"),
-                   (F.array_position(F.array(*[F.lit(float(p)) for p in probs]), F.col("q")) - 1).cast("string"))
-    wide = q.withColumn("_tag", tag).groupBy(*by).pivot("_tag", names).agg(F.first("value"))
-    return wide.select(*by, *[F.col(n).alias(prefix + n) for n in names])
-
-
-def median_map(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """One-row table with a map ``column_name -> exact median``."""
-    q = exact_quantiles(df, cols, [0.5], accuracy=accuracy)
-    return q.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "value"))).alias("med"))
-
-
-def with_stats_row(df: DataFrame, stats_row: DataFrame) -> DataFrame:
-    """Attach a one-row statistics table to every row (broadcast, size 1 row)."""
-    return df.join(F.broadcast(stats_row), F.lit(True), "left")
-
-
-def col_or_lit(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.ordered import ordered_cumsum
+from kestrel.storage import materialize
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
@@ -87,7 +88,7 @@ def roc_curve(scores: DataFrame, by: Sequence[str], drop_intermediate: bool = Tr
     (inf, 0, 0). Collinear points are dropped as scikit-learn does: a point
     is kept if it is the first or last or the count of positives or
     negatives changes at the next threshold."""
-    r = _ranked(scores, by)
+    r = materialize(_ranked(scores, by), "ranked")  # read three times below
     nxt = r.select(*by, (F.col("cum_rows") - 1).alias("cum_rows"),
                    F.col("pos").alias("_npos"), F.col("neg").alias("_nneg"))
     j = r.join(nxt, [*by, "cum_rows"], "left")  # neighbour by equi-join on position

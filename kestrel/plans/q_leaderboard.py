@@ -16,6 +16,7 @@ from kestrel.plans.q_profile import AUCTION_COLS
 from kestrel.plans.registry import register
 from kestrel.plans.views import with_views
 from kestrel.sources import io, proxies
+from kestrel.storage import materialize
 
 OOF_COLS = [f"oof_{m}" for m in ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")]
 GAP_KEPT = [c for c in _GAP_COLS if not c.startswith("test_")]
@@ -30,23 +31,37 @@ N_PREDICTORS = len(AUCTION_COLS) - 2
 
 
 # ---------------------------------------------------------------- Spark side
+# Each of these tables has one row per model (and fold): written once, then
+# read by the uniqueness checks, the ranking and the log.
 def _oof(spark, sf, sc):
     out = mt.oof_metrics(test_scores(spark, sf, sc))
     method = F.create_map(*[F.lit(x) for kv in sv.SCORE_METHOD.items() for x in kv])
-    return out.withColumn("score_method", method[F.col("model_key")])
+    return materialize(out.withColumn("score_method", method[F.col("model_key")]), "oof")
 
 
-def _cv(spark, sf, sc):
-    return mt.cv_summary(fold_results(spark, sf, "test", sc))
+def _folds(spark, sf, sc, split):
+    return materialize(fold_results(spark, sf, split, sc), f"folds-{split}")
 
 
-def _gap(spark, sf, sc):
-    return mt.train_test_gap(fold_results(spark, sf, "train", sc), fold_results(spark, sf, "test", sc))
+def _cv(spark, sf, sc, test=None):
+    test = test if test is not None else _folds(spark, sf, sc, "test")
+    return materialize(mt.cv_summary(test), "cv-summary")
+
+
+def _gap(spark, sf, sc, test=None):
+    test = test if test is not None else _folds(spark, sf, sc, "test")
+    return materialize(mt.train_test_gap(_folds(spark, sf, sc, "train"), test), "gap")
+
+
+def _tables(spark, sf, sc):
+    """(cv, oof, gap); the folds' test metrics are computed once for both."""
+    test = _folds(spark, sf, sc, "test")
+    return _cv(spark, sf, sc, test), _oof(spark, sf, sc), _gap(spark, sf, sc, test)
 
 
 def comparison(spark, sf, sc=None):
     sc = sc if sc is not None else score_table(spark, sf)
-    return lb.comparison_table(_cv(spark, sf, sc), _oof(spark, sf, sc), _gap(spark, sf, sc))
+    return lb.comparison_table(*_tables(spark, sf, sc))
 
 
 def manifest(spark, sf):
@@ -190,8 +205,8 @@ LEFT JOIN cmp x ON mf.model_key = x.model_key)"""
 
 def experiment_log_df(spark, sf, with_timestamp: bool):
     sc = score_table(spark, sf)
-    cv, oof = _cv(spark, sf, sc), _oof(spark, sf, sc)
-    cmp = lb.comparison_table(cv, oof, _gap(spark, sf, sc))
+    cv, oof, gap = _tables(spark, sf, sc)
+    cmp = lb.comparison_table(cv, oof, gap)
     return lb.experiment_log(manifest(spark, sf), cv, oof, cmp, 3, "modeling_baseline", with_timestamp)
 
 

@@ -9,6 +9,7 @@ from kestrel.operators import profile as pr
 from kestrel.plans import score_views as sv
 from kestrel.plans.registry import register
 from kestrel.plans.views import with_views
+from kestrel.storage import materialize
 
 R = 6
 
@@ -18,10 +19,10 @@ def _r(c, name=None):
 
 
 def score_table(spark, sf):
-    """The score table materialised once (reliable checkpoint in the shared
-    checkpoint folder) for queries that read it from several branches, so
+    """The score table written once (Parquet in the shared checkpoint
+    folder) for queries that read it from several branches, so
     auction, folds and scores are not rebuilt for each branch."""
-    return sv.scores(spark, sf).checkpoint(eager=True)
+    return materialize(sv.scores(spark, sf), "scores")
 
 
 def test_scores(spark, sf, sc=None):

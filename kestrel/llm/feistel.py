@@ -19,14 +19,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kestrel.llm.text import mix
-from kestrel.storage import broadcast_if_small, materialize
+from kestrel.operators.ordered import global_row_number
 
 ROUNDS = 6
 DEFAULT_KEY = 0x5EED
-_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's index in its partition
 
 
 class Permutation:
@@ -70,33 +68,14 @@ def row_at(shard: int, slot: int, n: int, shards: int, key: int = DEFAULT_KEY) -
     return int(Permutation(n, key).inverse(np.array([slot * shards + shard]))[0])
 
 
-def number_rows(df: DataFrame, *order: str) -> tuple[DataFrame, int]:
-    """``df`` with ``row`` = global rank in ``order``, and the row count.
-
-    One range shuffle; the numbers come from per-partition counts, never from
-    one task. A last sort key (the scan position) lets equal rows be dealt
-    over several partitions.
-    """
-    s = (df.withColumn("_tie", F.monotonically_increasing_id())
-         .repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
-         .withColumn("_part", F.spark_partition_id())
-         .withColumn("_index", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))))
-    s = materialize(s, "numbered")
-    counts = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    n = counts.agg(F.sum("_n")).first()[0] or 0
-    out = s.join(broadcast_if_small(offsets, 1_000_000), "_part")
-    return out.withColumn("row", F.col("_offset") + F.col("_index")).drop("_part", "_index", "_offset"), n
-
-
 def shard_documents(docs: DataFrame, shards: int, key: int = DEFAULT_KEY) -> DataFrame:
     """Shard and slot of every document; the text itself is not shuffled."""
     base = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("long").alias("text_crc32"))
-    numbered, n = number_rows(base, "doc_id", "text_crc32", "size")
+    numbered = global_row_number(base, "doc_id", "text_crc32", "size")
+    n = numbered.count()
 
     def permute(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         perm = Permutation(n, key)

@@ -8,10 +8,10 @@ run-length encoding; stripes carry row indexes (min/max per stride) and Bloom
 filters on doc_id, so Spark reads stripes in parallel and a filter on doc_id
 skips files, stripes and strides by metadata alone.
 
-The library encodes every piece of text: a text of plain characters whose
-spaces are single falls apart at its spaces into pieces that the byte-level
-pre-tokenizer can never join, so each distinct piece is encoded once per task
-(bounded memory); any other text is encoded whole.
+A text of plain characters whose spaces are single falls apart at its spaces
+into pieces that the byte-level pre-tokenizer can never join; the library's
+model encodes each distinct piece once per task (bounded memory). Any other
+text is encoded whole by the library.
 
 Defined cases: a null text is empty and holds only the end id; null doc_ids
 sort first; rows equal in doc_id and text are interchangeable; an empty table
@@ -20,12 +20,16 @@ writes no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,63 +41,85 @@ STRIPE_BYTES = 64 << 20
 ROW_STRIDE = 10_000
 SCHEMA = "part int, doc_id long, first long, n_tokens long, ids array<int>"
 
-# plain: line feeds, printable ASCII and Latin letters; spaces single, so none beside another white space
-_NOT_PLAIN = re.compile(r"[^\n -~À-ÖØ-öø-ɏ]| [ \n]|<\|")
+# line feeds, printable ASCII and Latin letters; with single spaces such a text falls apart at its spaces
+_ODD_ASCII, _ODD = re.compile(r"[^\n -~]"), re.compile(r"[^\n -~À-ÖØ-öø-ɏ]")
+
+
+def _is_plain(text: str) -> bool:
+    return "  " not in text and " \n" not in text and "<|" not in text and not (_ODD_ASCII if text.isascii() else _ODD).search(text)
+
+
+class PieceIds(dict):
+    """piece (as it stands after a space) -> its ids, little-endian uint32.
+    The pre-tokenizer's pattern cuts a piece, the library's model encodes each
+    pre-token. At ``limit`` pieces the older half is forgotten."""
+
+    def __init__(self, tok, limit: int):
+        super().__init__()
+        self.model, self.limit = tok.model, limit
+        # byte-level spelling: printable Latin-1 bytes stand for themselves, the others follow from U+0100
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.spelling = {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in printable)}
+        self.cut = regex.compile(public_tokenizers.PATTERN).findall
+        self.inner: dict[str, bytes] = {}  # pre-tokens that don't open a piece
+
+    def ids(self, token: str) -> bytes:
+        t = [x.id for x in self.model.tokenize(token.encode().decode("latin-1").translate(self.spelling))]
+        return struct.pack(f"<{len(t)}I", *t)
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.limit:
+            for old in list(itertools.islice(self, self.limit // 2)):
+                del self[old]
+            self.inner.clear()
+        if piece.isalpha():
+            out = self.ids(" " + piece)
+        else:
+            first, *rest = self.cut(" " + piece)
+            opened = first[1:]
+            out = self.get(opened) if opened != piece else None
+            if out is None:
+                out = self.ids(first)
+                if opened.isalpha():
+                    self[opened] = out
+            for token in rest:
+                ids = self.inner.get(token)
+                if ids is None:
+                    ids = self.inner[token] = self.ids(token)
+                out += ids
+        self[piece] = out
+        return out
 
 
 class PieceEncoder:
     """text -> little-endian uint32 ids (bytes), by the tokenizers library."""
 
-    def __init__(self, tokenizer_file: str, limit: int = 300_000, bulk: int = 1000):
+    def __init__(self, tokenizer_file: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(tokenizer_file)
-        n = self.tok.get_vocab_size()
-        self.opens = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
-        self.limit, self.bulk = limit, bulk
-        self.known: dict[str, bytes] = {}
+        self.known = PieceIds(self.tok, limit)
+        self.space = self.whole([" "])[0]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         enc = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in enc]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode new pieces, each with a space before it: in such a run only
-        a piece's first token opens with the space."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(pieces)
-        runs = [new[i:i + self.bulk] for i in range(0, len(new), self.bulk)]
-        for run, e in zip(runs, self.tok.encode_batch_fast([" " + " ".join(r) for r in runs], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            at = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), ids.nbytes]
-            data = ids.tobytes()
-            self.known.update(zip(run, (data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)), strict=True))
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        plain, odd = [], []
-        for i, t in enumerate(texts):
-            if t:
-                (odd if _NOT_PLAIN.search(t) else plain).append(i)
-        for i, b in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
-            out[i] = b
-        split = [texts[i].split(" ") for i in plain]
-        heads = self.whole([s[0] for s in split])
-        rest: set[str] = set()
-        for s in split:
-            rest.update(s[1:])
-        rest.discard("")
-        self.learn(rest)
-        known = self.known
-        lone = self.whole([" "])[0]
-        for i, s, head in zip(plain, split, heads, strict=True):
-            tail = s[1:]
-            if tail and not tail[-1]:  # the text ends in a space
-                out[i] = b"".join((head, *map(known.__getitem__, tail[:-1]), lone))
+        out, ids = [], self.known.__getitem__
+        for t in texts:
+            if not t:
+                out.append(b"")
+            elif not _is_plain(t):
+                out.append(self.whole([t])[0])
             else:
-                out[i] = head + b"".join(map(known.__getitem__, tail))
+                head, *tail = t.split(" ")
+                first = self.whole([head])[0] if head else b""
+                end = b""
+                if tail and not tail[-1]:  # the text ends in a space
+                    tail.pop()
+                    end = self.space
+                out.append(b"".join((first, *map(ids, tail), end)))
         return out
 
 

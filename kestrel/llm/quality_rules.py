@@ -99,8 +99,8 @@ def statistics(docs: DataFrame) -> DataFrame:
 def vectors(stats: DataFrame) -> DataFrame:
     """Adds x0..x4: log mean word length, and square roots of the rates of
     symbols, equal lines, repeated words and capitals."""
-    rates = stats.groupBy("grp").agg((F.sum("word_chars") / F.sum("n_words")).alias("g_len"),
-                                     (F.sum("n_upper") / F.sum("word_chars")).alias("g_upper"))
+    rates = stats.groupBy("grp").agg(F.try_divide(F.sum("word_chars"), F.sum("n_words")).alias("g_len"),
+                                     F.try_divide(F.sum("n_upper"), F.sum("word_chars")).alias("g_upper"))
     s = stats.join(broadcast_if_small(materialize(rates, "rates"), MAX_BROADCAST_ROWS), "grp")
     n = F.col("n_words") + PSEUDO_WORDS
     length = (F.col("word_chars") + PSEUDO_WORDS * F.coalesce("g_len", F.lit(1.0))) / n

@@ -90,7 +90,7 @@ def choose_terms(examples: DataFrame) -> list[str]:
             .agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= MIN_TERM_ROWS))
     a, df, total = F.col("a"), F.col("df"), n0 + n1
     b = df - a
-    chi2 = total * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / (df * (total - df) * float(n1) * float(n0))
+    chi2 = F.try_divide(total * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)), df * (total - df) * float(n1) * float(n0))
     rows = (seen.where(df < total).withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (a * n0 > b * n1))
             .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect())
     return sorted(r["term"] for r in rows)

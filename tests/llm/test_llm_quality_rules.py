@@ -31,8 +31,10 @@ def test_counts_match_brute_force_on_edge_cases(spark):
     assert all(not r.kept for r in got if r.base_failed)
 
 
-def test_empty_table(spark):
+def test_empty_table_and_groups_without_words(spark):
     assert q.judge(frame(spark, [])).count() == 0
+    blank = [(i, t, "xx", "s", 0, *edge_rows()[0][5:]) for i, t in enumerate((None, "", " \n"))]
+    assert [r.kept for r in q.judge(frame(spark, blank)).collect()] == [False] * 3
 
 
 def test_outliers_go_and_clean_rows_stay(spark):

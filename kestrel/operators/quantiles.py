@@ -130,6 +130,8 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], value_col: str,
     )
     frac = pos - k0
     value = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac
+    # a sketch beyond its error bound would leave a rank outside its bracket: fail rather than return NULL
+    value = F.coalesce(value, F.raise_error(F.lit("a quantile's rank lies outside its bracket; raise accuracy")).cast("double"))
     return picked.select(*keys, "q", value.alias("value"), F.col("_n").alias("n"))
 
 

@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # whole texts go to Python tasks: a batch of 10,000 of them is tens of MB in several copies
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -47,7 +47,7 @@ _TO_SPACE = {ord(c): " " for c in "\t\n\x0b\x0c\r"}
 class WordHash(dict):
     """word -> 64-bit hash, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

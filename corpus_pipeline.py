@@ -13,33 +13,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import decontaminate, ngram_join, pii, sentencepiece_viterbi, toxicity
+from kestrel.session import apply_defaults
 from kestrel.sources.tables import load
 from kestrel.storage import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
+    apply_defaults(spark)
     return toxicity.drop_toxic(docs, load(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    apply_defaults(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
+    apply_defaults(spark)
     return decontaminate.drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes [KIND]; n_chars follows the new text."""
+    apply_defaults(spark)
     out = pii.redact(docs)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of every document."""
+    apply_defaults(spark)
     return sentencepiece_viterbi.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -1,22 +1,29 @@
 """Toxicity by nearest labelled examples (operator 4).
 
-1. Terms: words that are significantly more frequent in toxic texts, by
-   chi-square over the distinct texts of a bounded sample of labelled training
-   rows (at most ``MAX_TERMS``).
-2. TF-IDF vectors over these terms; document frequencies count all documents.
-3. A block-max inverted index over the sample's vectors: postings of a term
+1. Words that are significantly more frequent in toxic texts, by chi-square
+   over the distinct texts of a bounded sample of labelled training rows, are
+   the terms (at most ``MAX_TERMS``).
+2. TF-IDF vectors over these terms, and over all words of the examples;
+   document frequencies count all documents.
+3. Texts with a term: a block-max inverted index over the sample's vectors: postings of a term
    are cut into blocks of ``BLOCK`` examples, each with its largest weight.
    A query bounds every block's best possible cosine from these maxima,
    visits blocks from the highest bound down and stops when no block can
    reach the k-th best: the k nearest examples are exact.
-4. Votes weighted by inverse cosine distance give a raw score; isotonic
-   regression on leave-one-out scores of the examples calibrates it. Texts
-   without any term get the rate of the examples without any term.
-
-The model is bounded (``MAX_EXAMPLES`` labelled rows, ``MAX_TERMS`` terms) and
+4. Texts without a term are compared by their whole vectors with the whole
+   vectors of all examples (``WholeIndex``), so rare words match too; a text
+   whose vector equals examples' takes their smoothed rate.
+5. Votes weighted by inverse cosine distance give a raw score; isotonic
+   regression on leave-one-out scores of the examples, with and without a term
+   apart, calibrates it. Evidence: the nearest examples by terms; without a
+   term, the toxic ones among the nearest by all words.
+
+The model is bounded (``MAX_EXAMPLES`` labelled rows and their words) and
 travels with the task; every document is scored by its task alone.
 
-Defined cases: null and empty texts have no term; rows without a label, and
+Defined cases: texts that share no word with an example get the rate of the
+examples without a term; words of no example only lengthen a text's vector, as
+if in no document; 64-bit hashes stand for words; rows without a label, and
 held-out rows, are never learnt from; of several labels of a doc_id the
 largest counts; repeated rows get equal scores; equal similarities are ranked
 by example number; without usable labels every score is the smoothed rate; an
@@ -26,7 +33,6 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.text import WordHash
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -46,6 +53,12 @@ BLOCK = 64
 NEIGHBOURS = 15
 EVIDENCE = 3
 CUT = 0.5
+#: words kept as dense columns of the whole vectors; the others are postings
+MAX_DENSE = 256
+#: texts compared at once, and counts of words sent on at once
+BATCH, CHUNK = 64, 65_536
+#: cosines from here on are those of equal vectors
+EQUAL = 1 - 1e-9
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -96,38 +109,54 @@ def choose_terms(examples: DataFrame) -> list[str]:
     return sorted(r["term"] for r in rows)
 
 
-def term_counts(texts: pd.Series, terms: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-    """Per text the indexes of the terms in it, ascending, and their counts."""
-    index = {t: i for i, t in enumerate(terms)}
-    wanted = frozenset(index)
-    out_t, out_f = [], []
-    for text in texts:
-        words = words_of(text)
-        c = Counter(w for w in words if w in index) if not wanted.isdisjoint(words) else {}
-        found = sorted((index[w], n) for w, n in c.items())
-        out_t.append([x[0] for x in found])
-        out_f.append([x[1] for x in found])
-    return out_t, out_f
+def word_counts(text: str | None, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending hashes of the text's distinct words, their counts)."""
+    return np.unique(known.array(words_of(text)), return_counts=True)
 
 
-def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """(doc_id, terms, tf) of every document."""
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            t, f = term_counts(texts, terms)
-            yield pd.DataFrame({"terms": t, "tf": f})
+def example_words(examples: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(doc_id, y, word hashes, counts) of every example; at most about
+    MAX_EXAMPLES come back."""
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHash()
+        for b in it:
+            found = [word_counts(t, known) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "h": [h.tobytes() for h, _ in found], "c": [c.tobytes() for _, c in found]})
+
+    rows = examples.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, h binary, c binary").collect()
+    return sorted(((r["doc_id"], r["y"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["c"], np.int64)) for r in rows),
+                  key=lambda r: (r[0], r[1], r[2].tolist(), r[3].tolist()))
+
+
+def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``h`` are in the ascending vocabulary, their places there)."""
+    at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
+    here = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), dtype=bool)
+    return here, at[here]
 
-    v = F.pandas_udf(run, "terms array<int>, tf array<int>")(F.col("text"))
-    return docs.select("doc_id", v.alias("v")).select("doc_id", "v.terms", "v.tf")
 
+def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each word of the vocabulary;
+    counted per task, so a chunk of words is one row a task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, n = WordHash(), np.zeros(len(vocabulary) + 1, dtype=np.int64)
+        for b in batches:
+            for t in b["text"]:
+                n[positions(word_counts(t, known)[0], vocabulary)[1]] += 1
+                n[-1] += 1
+        at = range(0, len(n), CHUNK)
+        yield pd.DataFrame({"chunk": [a // CHUNK for a in at], "n": [n[a:a + CHUNK].tobytes() for a in at]})
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents per term of a whole task, so a term is one row a task."""
-    n: Counter[int] = Counter()
-    for b in batches:
-        for t in b["terms"]:
-            n.update(t.tolist())
-    yield pd.DataFrame({"t": list(n), "n": list(n.values())})
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int64) for x in pdf["n"])
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "n": [total.tobytes()]})
+
+    schema = "chunk int, n binary"
+    rows = docs.select("text").mapInPandas(run, schema).groupBy("chunk").applyInPandas(add, schema).collect()
+    if not rows:
+        return 0, np.zeros(len(vocabulary), dtype=np.int64)
+    n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in sorted(rows, key=lambda r: r["chunk"])])
+    return int(n[-1]), n[:-1]
 
 
 class BlockMaxIndex:
@@ -171,35 +200,144 @@ class BlockMaxIndex:
         return rows, sims
 
 
-class ToxicityModel:
-    """Bounded model: terms, idf, index over the examples, calibration."""
+class WholeIndex:
+    """Unit vectors of the examples over all their words: the most frequent
+    words as dense columns, the others as postings. Every cosine is computed."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_words: int):
+        self.n = len(rows)
+        word = np.concatenate([t for t, _ in rows]) if rows else np.empty(0, np.int64)
+        order = np.argsort(word, kind="stable")
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in rows])[order]
+        self.weight = (np.concatenate([w for _, w in rows]) if rows else np.empty(0))[order]
+        length = np.bincount(word, minlength=n_words)
+        self.start = np.concatenate([[0], np.cumsum(length)])
+        self.column = np.full(n_words, -1, dtype=np.int32)
+        self.frequent = np.argsort(-length, kind="stable")[:MAX_DENSE]
+        self.column[self.frequent] = np.arange(len(self.frequent))
+        self.dense: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"dense": None}  # built again by each task
+
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """(queries x examples) of unit vectors (words, weights)."""
+        if self.dense is None:
+            self.dense = np.zeros((len(self.frequent), self.n))
+            for k, t in enumerate(self.frequent):
+                a, b = self.start[t], self.start[t + 1]
+                self.dense[k, self.row[a:b]] = self.weight[a:b]
+        word = np.concatenate([t for t, _ in queries])
+        weight = np.concatenate([w for _, w in queries])
+        which = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries])
+        column = self.column[word]
+        often = column >= 0
+        q = np.zeros((len(queries), len(self.frequent)))
+        q[which[often], column[often]] = weight[often]
+        word, weight, which = word[~often], weight[~often], which[~often]
+        size = self.start[word + 1] - self.start[word]
+        at = np.repeat(self.start[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cell = np.repeat(which * self.n, size) + self.row[at]
+        rare = np.bincount(cell, np.repeat(weight, size) * self.weight[at], len(queries) * self.n)
+        return q @ self.dense + rare.reshape(len(queries), self.n)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, cosines) of the k nearest of each query, by falling cosine,
+        then row; without row ``but[i]`` for query i."""
+        for a in range(0, len(queries), BATCH):
+            for i, s in enumerate(self.cosines(queries[a:a + BATCH])):
+                if but is not None:
+                    s[but[a + i]] = 0
+                least = np.partition(s, -k)[-k] if self.n > k else 0
+                hit = np.flatnonzero((s > 1e-12) & (s >= least - 1e-8))
+                top = hit[np.lexsort((hit, -np.round(s[hit], 9)))[:k]]
+                yield top, s[top]
+
+
+def vote(y: np.ndarray, sims: np.ndarray) -> float:
+    votes = 1 / (1.05 - np.minimum(sims, 1))
+    return float((votes * y).sum() / votes.sum())
+
+
+def isotonic(raw: list[float | None], y: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression (pool adjacent violators) of the labels on the raw
+    scores: step edges and levels."""
+    pairs = sorted((round(r, 6), y) for r, y in zip(raw, y, strict=True) if r is not None)
+    blocks: list[list[float]] = []  # edge, sum, count
+    for r, y in pairs:
+        if blocks and blocks[-1][0] == r:
+            blocks[-1][1] += y
+            blocks[-1][2] += 1
+        else:
+            blocks.append([r, y, 1])
+    pooled: list[list[float]] = []
+    for e, s, c in blocks:
+        pooled.append([e, s, c])
+        while len(pooled) > 1 and pooled[-2][1] * pooled[-1][2] >= pooled[-1][1] * pooled[-2][2]:
+            _, s2, c2 = pooled.pop()
+            pooled[-1][1] += s2
+            pooled[-1][2] += c2
+    if not pooled:
+        return np.array([0.0]), np.array([otherwise])
+    return np.array([b[0] for b in pooled]), np.array([(b[1] + 0.1) / (b[2] + 0.2) for b in pooled])
+
+
+def calibrated(raw: float, steps: tuple[np.ndarray, np.ndarray]) -> float:
+    edges, levels = steps
+    level = float(levels[max(0, np.searchsorted(edges, raw + 1e-9, side="right") - 1)])
+    # within a level the raw score still ranks
+    return min(1.0, max(0.0, level + 1e-4 * (raw - 0.5)))
+
 
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]]):
-        self.terms, self.idf = terms, idf
+class ToxicityModel:
+    """Bounded model: words, idf, the two indexes of the examples, calibration."""
+
+    def __init__(self, terms: list[str], vocabulary: np.ndarray, idf: np.ndarray, unseen: float,
+                 examples: list[tuple[int, int, np.ndarray, np.ndarray]]):
+        self.vocabulary, self.idf, self.unseen = vocabulary, idf, unseen
+        self.term = np.zeros(len(vocabulary), dtype=bool)  # words that are terms
+        self.term[positions(WordHash().array(terms), vocabulary)[1]] = True
+        self.term_number = np.cumsum(self.term) - 1
+        self.term_idf = idf[self.term]
+        with_term = [(*self._unit(*v), d, y) for d, y, h, c in examples if len((v := self._terms(h, c))[0])]
         # like vectors beside each other, so that a block's maxima say much
-        rows = sorted(((*self._unit(t, f), d, y) for d, y, t, f in examples if t), key=lambda r: (r[0].tolist(), r[1].tolist(), r[2], r[3]))
+        rows = sorted(with_term, key=lambda r: (r[0].tolist(), r[1].tolist(), r[2], r[3]))
         self.ids, self.y = [r[2] for r in rows], np.array([r[3] for r in rows], dtype=float)
-        self.index = BlockMaxIndex([(r[0], r[1]) for r in rows], len(terms))
-        none = [y for _, y, t, _ in examples if not t]
-        self.without = (sum(none) + 0.5) / (len(none) + 5)
+        self.index = BlockMaxIndex([(r[0], r[1]) for r in rows], len(self.term_idf))
+        self.all_ids, self.all_y = [e[0] for e in examples], np.array([e[1] for e in examples], dtype=float)
+        whole = [self._whole(h, c) for _, _, h, c in examples]
+        self.whole = WholeIndex(whole, len(vocabulary))
+        none = [i for i, e in enumerate(examples) if not len(self._terms(e[2], e[3])[0])]
+        self.without = (sum(self.all_y[none]) + 0.5) / (len(none) + 5)
         self.scored: dict[tuple, tuple[float, list[dict]]] = {}
         self.steps = self._calibrate() if rows else (np.array([0.0]), np.array([self.without]))
-
-    def _unit(self, terms, tf) -> tuple[np.ndarray, np.ndarray]:
-        t = np.asarray(terms, dtype=np.int64)
-        w = (1 + np.log(np.asarray(tf, dtype=float))) * self.idf[t]
+        found = self.whole.nearest([whole[i] for i in none], NEIGHBOURS, none)
+        self.whole_steps = isotonic([vote(self.all_y[r], s) if len(r) else None for r, s in found], self.all_y[none], self.without)
+
+    def _terms(self, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the terms among the words, ascending, and their counts."""
+        here, at = positions(h, self.vocabulary)
+        chosen = self.term[at]
+        return self.term_number[at[chosen]], c[here][chosen]
+
+    def _whole(self, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vector over the vocabulary; other words count in its length."""
+        here, at = positions(h, self.vocabulary)
+        tf = 1 + np.log(c)
+        w = tf[here] * self.idf[at]
+        length = np.sqrt((w * w).sum() + ((tf[~here] * self.unseen) ** 2).sum())
+        return at, w / length if len(at) else w
+
+    def _unit(self, t: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(tf)) * self.term_idf[t]
         return t, w / np.sqrt((w * w).sum())
 
     def _raw(self, t: np.ndarray, w: np.ndarray, but: int = -1) -> tuple[float | None, np.ndarray, np.ndarray]:
         rows, sims = self.index.nearest(t, w, NEIGHBOURS, but)
-        if not len(rows):
-            return None, rows, sims
-        votes = 1 / (1.05 - np.minimum(sims, 1))
-        return float((votes * self.y[rows]).sum() / votes.sum()), rows, sims
+        return (vote(self.y[rows], sims) if len(rows) else None), rows, sims
 
     def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
-        """Isotonic regression (pool adjacent violators) of the labels on the
-        leave-one-out raw scores: step edges and levels."""
+        """Step edges and levels by the leave-one-out raw scores."""
         unit: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * self.index.n
         parts: dict[int, list] = {}
         for t, (r, w) in enumerate(zip(self.index.row, self.index.weight, strict=True)):
@@ -215,30 +353,30 @@ class ToxicityModel:
             if key not in known:
                 known[key] = self._raw(t, w, but=i)[0]
             raw.append(known[key])
-        pairs = sorted((round(r, 6), y) for r, y in zip(raw, self.y, strict=True) if r is not None)
-        blocks: list[list[float]] = []  # edge, sum, count
-        for r, y in pairs:
-            if blocks and blocks[-1][0] == r:
-                blocks[-1][1] += y
-                blocks[-1][2] += 1
-            else:
-                blocks.append([r, y, 1])
-        pooled: list[list[float]] = []
-        for e, s, c in blocks:
-            pooled.append([e, s, c])
-            while len(pooled) > 1 and pooled[-2][1] * pooled[-1][2] >= pooled[-1][1] * pooled[-2][2]:
-                _, s2, c2 = pooled.pop()
-                pooled[-1][1] += s2
-                pooled[-1][2] += c2
-        if not pooled:
-            return np.array([0.0]), np.array([self.without])
-        return np.array([b[0] for b in pooled]), np.array([(b[1] + 0.1) / (b[2] + 0.2) for b in pooled])
-
-    def score(self, terms, tf) -> tuple[float, list[dict]]:
-        """Score and evidence of a vector; equal vectors are looked up."""
-        if not len(terms):
-            return self.without, []
-        key = tuple(terms), tuple(tf)
+        return isotonic(raw, self.y, self.without)
+
+    def scores(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of each text."""
+        out: list[tuple[float, list[dict]]] = []
+        later: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
+        for text in texts:
+            h, c = word_counts(text, known)
+            terms, tf = self._terms(h, c)
+            if len(terms):
+                out.append(self._by_terms(terms, tf))
+                continue
+            v = self._whole(h, c)
+            if len(v[0]):
+                later.append((len(out), v))
+            out.append((self.without, []))
+        for (i, _), (rows, sims) in zip(later, self.whole.nearest([v for _, v in later], NEIGHBOURS), strict=True):
+            if len(rows):
+                out[i] = self._by_words(rows, sims)
+        return out
+
+    def _by_terms(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[dict]]:
+        """By the terms; equal vectors are looked up."""
+        key = terms.tobytes(), tf.tobytes()
         out = self.scored.get(key)
         if out is None:
             if len(self.scored) >= 20_000:
@@ -246,56 +384,55 @@ class ToxicityModel:
             out = self.scored[key] = self._score(terms, tf)
         return out
 
-    def _score(self, terms, tf) -> tuple[float, list[dict]]:
+    def _score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[dict]]:
         raw, rows, sims = self._raw(*self._unit(terms, tf))
         if raw is None:
             return self.without, []
-        edges, levels = self.steps
-        level = float(levels[max(0, np.searchsorted(edges, raw + 1e-9, side="right") - 1)])
-        # within a level the raw score still ranks
-        score = min(1.0, max(0.0, level + 1e-4 * (raw - 0.5)))
-        return score, [{"doc_id": int(self.ids[r]), "label": int(self.y[r]), "similarity": round(float(s), 6)}
-                       for r, s in zip(rows[:EVIDENCE], sims[:EVIDENCE], strict=True)]
+        return calibrated(raw, self.steps), [
+            {"doc_id": int(self.ids[r]), "label": int(self.y[r]), "similarity": round(float(s), 6)}
+            for r, s in zip(rows[:EVIDENCE], sims[:EVIDENCE], strict=True)]
+
+    def _by_words(self, rows: np.ndarray, sims: np.ndarray) -> tuple[float, list[dict]]:
+        y = self.all_y[rows]
+        same = sims >= EQUAL
+        score = float((y[same].sum() + 0.1) / (same.sum() + 0.2)) if same.any() else calibrated(vote(y, sims), self.whole_steps)
+        toxic = np.flatnonzero(y)[:EVIDENCE]
+        return score, [{"doc_id": int(self.all_ids[rows[k]]), "label": 1, "similarity": round(float(sims[k]), 6)} for k in toxic]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the vectors (doc_id, terms, tf) of all documents."""
+def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     sample = materialize(training_sample(labels, "toxic", ~held_out(), MAX_EXAMPLES), "toxic-sample")
     picked = F.broadcast(sample)  # at most about MAX_EXAMPLES rows
-    examples = docs.select("doc_id", "text").join(picked, "doc_id")
+    examples = materialize(docs.select("doc_id", "text").join(picked, "doc_id"), "toxic-examples")
     terms = choose_terms(examples)
-    v = materialize(vectors(docs, terms), "term-vectors")
-    df = np.zeros(max(1, len(terms)))
-    for r in v.select("terms").mapInPandas(_counted, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():
-        df[r["t"]] = r["n"]  # a row for each term
-    idf = np.log((1 + v.count()) / (1 + df)) + 1
-    rows = [(r["doc_id"], r["y"], r["terms"], r["tf"]) for r in v.join(picked, "doc_id").collect()]
-    return ToxicityModel(terms, idf, sorted(rows)), v
-
-
-def _scorer(model: ToxicityModel):
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for t, f in batches:
-            out = [model.score(a, b) for a, b in zip(t, f, strict=True)]
-            yield pd.DataFrame({"score": [x[0] for x in out], "evidence": [x[1] for x in out]})
-
-    return F.pandas_udf(run, "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>")
+    rows = example_words(examples)
+    vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *(r[2] for r in rows)]))
+    n, df = document_frequencies(docs, vocabulary)
+    return ToxicityModel(terms, vocabulary, np.log((1 + n) / (1 + df)) + 1, float(np.log(1 + n) + 1), rows)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every document."""
-    model, v = fit(docs, labels)
-    s = v.select("doc_id", _scorer(model)("terms", "tf").alias("s"))
+    model = fit(docs, labels)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = WordHash()
+        for texts in batches:
+            out = model.scores(texts, known)
+            yield pd.DataFrame({"score": [x[0] for x in out], "evidence": [x[1] for x in out]})
+
+    scorer = F.pandas_udf(run, "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>")
+    s = docs.select("doc_id", scorer(F.col("text")).alias("s"))
     return s.select("doc_id", held_out().alias("held_out"), "s.score", (F.col("s.score") >= CUT).cast("int").alias("predicted"), "s.evidence")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged."""
-    model, _ = fit(docs, labels)
+    model = fit(docs, labels)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = WordHash()
         for texts in batches:
-            t, f = term_counts(texts, model.terms)
-            yield pd.Series([model.score(a, b)[0] for a, b in zip(t, f, strict=True)])
+            yield pd.Series([x[0] for x in model.scores(texts, known)], dtype=float)
 
     return docs.where(F.pandas_udf(run, "double")(docs["text"]) < CUT)

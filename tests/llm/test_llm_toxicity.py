@@ -81,3 +81,31 @@ def test_without_usable_labels(spark, labels):
 
 def test_empty_documents(spark):
     assert t.score(frame(spark, []), spark.createDataFrame(_labelled(20)[1], LABELS)).count() == 0
+
+
+def test_texts_without_a_term_are_compared_by_all_words(spark):
+    clean = [(i, f"plain words of text {'abcdefgh'[i % 8]}", *edge_rows()[0][2:]) for i in range(1, 30)]
+    odd = "quite another rarity"
+    ids = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 5][:1]
+    docs = frame(spark, [*clean, (ids[0], odd, *edge_rows()[0][2:]), (900, odd, *edge_rows()[0][2:]), (901, None, *edge_rows()[0][2:])])
+    labels = spark.createDataFrame([(i, 1, 0, "") for i in range(1, 30)] + [(ids[0], 1, 1, "")], LABELS)
+    got = {r.doc_id: r for r in t.score(docs, labels).collect()}
+    assert got[900].predicted == 1 and [(e.doc_id, e.label) for e in got[900].evidence] == [(ids[0], 1)]
+    assert got[901].predicted == 0 and not any(got[i].predicted for i in range(1, 30))
+    assert 900 not in {r.doc_id for r in t.drop_toxic(docs, labels).collect()}
+
+
+def test_whole_index_is_exact():
+    r = np.random.default_rng(3)
+    rows = []
+    for _ in range(300):
+        terms = np.sort(r.choice(900, 20, replace=False))
+        w = r.random(20)
+        rows.append((terms, w / np.linalg.norm(w)))
+    dense = np.zeros((300, 900))
+    for i, (a, w) in enumerate(rows):
+        dense[i, a] = w
+    for i, (got, s) in enumerate(t.WholeIndex(rows, 900).nearest(rows, 15, list(range(300)))):
+        sims = dense @ dense[i]
+        want = [j for j in np.lexsort((np.arange(300), -np.round(sims, 9))) if sims[j] > 0 and j != i][:15]
+        assert got.tolist() == want and np.allclose(s, sims[want])

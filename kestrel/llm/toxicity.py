@@ -44,8 +44,8 @@ from kestrel.llm.text import WordHash
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
-MAX_EXAMPLES = 4000
-MAX_TERMS = 256
+MAX_EXAMPLES = 20_000
+MAX_TERMS = 512
 MIN_TERM_ROWS = 5
 #: chi-square, one degree of freedom, upper tail 1e-7
 MIN_CHI2 = 28.4
@@ -56,7 +56,7 @@ CUT = 0.5
 #: words kept as dense columns of the whole vectors; the others are postings
 MAX_DENSE = 256
 #: texts compared at once, and counts of words sent on at once
-BATCH, CHUNK = 64, 65_536
+BATCH, CHUNK = 16, 65_536
 #: cosines from here on are those of equal vectors
 EQUAL = 1 - 1e-9
 
@@ -121,11 +121,11 @@ def example_words(examples: DataFrame) -> list[tuple[int, int, np.ndarray, np.nd
         known = WordHash()
         for b in it:
             found = [word_counts(t, known) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "h": [h.tobytes() for h, _ in found], "c": [c.tobytes() for _, c in found]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "h": [h.tobytes() for h, _ in found], "c": [c.astype(np.int32).tobytes() for _, c in found]})
 
     rows = examples.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, h binary, c binary").collect()
-    return sorted(((r["doc_id"], r["y"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["c"], np.int64)) for r in rows),
-                  key=lambda r: (r[0], r[1], r[2].tolist(), r[3].tolist()))
+    rows.sort(key=lambda r: (r["doc_id"], r["y"], r["h"], r["c"]))
+    return [(r["doc_id"], r["y"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["c"], np.int32)) for r in rows]
 
 
 def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from edge_data import SCHEMA, edge_rows, frame
 from kestrel.llm import toxicity as t
@@ -109,3 +110,9 @@ def test_whole_index_is_exact():
         sims = dense @ dense[i]
         want = [j for j in np.lexsort((np.arange(300), -np.round(sims, 9))) if sims[j] > 0 and j != i][:15]
         assert got.tolist() == want and np.allclose(s, sims[want])
+
+
+def test_six_thousand_labels_are_all_examples(spark):
+    labels = spark.range(6000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic", "'' AS terms")
+    assert t.training_sample(labels, "toxic", F.lit(True), t.MAX_EXAMPLES).count() == 6000
+    assert t.MAX_TERMS == 512

@@ -160,17 +160,21 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
 
 def proximity_matches(docs: DataFrame, items: DataFrame, n_terms: int = 3, slop: int = 5) -> DataFrame:
     """(doc_id, text_h, item_id): the item's ``n_terms`` rarest distinct terms
-    all stand in the document with offset-adjusted starts at most ``slop``
-    apart. Starts are bucketed by slop + 1 and put into two neighbouring
+    (all its terms, if fewer) that the corpus has all stand in the document
+    with offset-adjusted starts at most ``slop`` apart, each by any of its
+    offsets in the item; an item of which the corpus has fewer terms than that
+    matches nothing. Starts are bucketed by slop + 1 and put into two neighbouring
     buckets, so one group holds one stretch of one document."""
     words = items.select("item_id", F.posexplode(index_words(F.col("text"))).alias("off", "term"))
-    first = words.groupBy("item_id", "term").agg(F.min("off").alias("off"))
-    counts = term_counts(docs, first.select("term").distinct())
-    per = (first.join(counts, "term").groupBy("item_id")
-           .agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "term", "off"))), 1, n_terms).alias("t")))
-    rare = materialize(per.select("item_id", F.size("t").alias("want"), F.explode("t").alias("t"))
-                       .select("item_id", "want", "t.term", "t.off"), "near-terms")
-    p = postings(docs, rare.select("term").distinct()).join(broadcast_if_small(rare, MAX_BROADCAST_ROWS), "term")
+    offsets = words.groupBy("item_id", "term").agg(F.collect_set("off").alias("offs"))
+    counts = term_counts(docs, offsets.select("term").distinct())
+    per = (offsets.join(counts, "term", "left").groupBy("item_id")
+           .agg(F.least(F.count(F.lit(1)), F.lit(n_terms)).alias("want"),
+                F.slice(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "term", "offs")))), 1, n_terms).alias("t"))
+           .where(F.size("t") == F.col("want")))
+    rare = materialize(per.select("item_id", "want", F.explode("t").alias("t"))
+                       .select("item_id", "want", "t.term", F.explode("t.offs").alias("off")), "near-terms")
+    p = materialize(postings(docs, rare.select("term").distinct()), "near-postings").join(broadcast_if_small(rare, MAX_BROADCAST_ROWS), "term")
     start = F.col("pos") - F.col("off")
     b = F.floor(start / (slop + 1))
     spread = p.select("item_id", "want", "doc_id", "text_h", "term", start.alias("start"),
@@ -182,3 +186,16 @@ def proximity_matches(docs: DataFrame, items: DataFrame, n_terms: int = 3, slop:
         F.filter(s, lambda y: (y["start"] >= x["start"]) & (y["start"] <= x["start"] + slop)),
         lambda y: y["term"]))) == F.col("want")))
     return g.where(full).select("doc_id", "text_h", "item_id").distinct()
+
+
+def near_report(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, n_near_items, near_items_sha256) of every document: the items
+    with a proximity match."""
+    hits = materialize(proximity_matches(docs, items).groupBy("doc_id", "text_h")
+                       .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")), "near-hits")
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_h")).alias("d")
+    h = broadcast_if_small(hits, MAX_BROADCAST_ROWS).alias("h")
+    j = base.join(h, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.text_h") == F.col("h.text_h")), "left")
+    found = F.coalesce("items", F.array().cast("array<string>"))
+    return j.select("d.doc_id", F.size(found).cast("long").alias("n_near_items"),
+                    F.sha2(F.array_join(found, ","), 256).alias("near_items_sha256"))

@@ -80,3 +80,13 @@ def test_proximity(spark):
     rows = [(i, t, *edge_rows()[0][2:]) for i, t in enumerate(["alpha beta gamma delta", "alpha x beta gamma delta", "alpha " + "x " * 50 + "beta gamma", "beta"])]
     got = d.proximity_matches(spark.createDataFrame(rows, SCHEMA), bench(spark, [(1, "alpha beta gamma", "t", 0)]), n_terms=3, slop=2).collect()
     assert sorted(r.doc_id for r in got) == [0, 1]
+
+
+def test_near_report_uses_every_offset_and_lists_every_document(spark):
+    # 'rare' recurs; the document quotes only the end of item 1, with a word changed
+    its = [(1, "rare x x x x x x x x x x x alpha beta rare", "t", 0), (2, "beta missing gone", "t", 0), (None, "alpha beta", "t", 0)]
+    docs = [(0, "alpha CHANGED rare"), (1, "alpha beta rare"), (2, "beta"), (3, None), (1, "beta rare")]
+    rows = [(i, t, *edge_rows()[0][2:]) for i, t in docs]
+    got = _sorted(d.near_report(spark.createDataFrame(rows, SCHEMA), bench(spark, its)).collect())
+    one, none = hashlib.sha256(b"1").hexdigest(), hashlib.sha256(b"").hexdigest()
+    assert got == _sorted([(0, 0, none), (1, 1, one), (2, 0, none), (3, 0, none), (1, 0, none)])

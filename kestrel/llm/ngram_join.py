@@ -126,8 +126,8 @@ def _links(left: list[np.ndarray], right: list[np.ndarray], same: bool, threshol
     mark = np.zeros(len(values), dtype=np.int32)
     for i, a in enumerate(left):
         at = np.searchsorted(values, a)
-        at = at[at < len(values)]
-        at = at[np.isin(values[at], a, assume_unique=True)]
+        a_in, at = a[at < len(values)], at[at < len(values)]
+        at = at[values[at] == a_in]
         mark[at] = 1
         common = np.add.reduceat(mark[where], starts)
         mark[at] = 0

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 
 from edge_data import SCHEMA, corpus, edge_rows, frame
@@ -78,3 +79,13 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (200, 200)] + [(300, k) for k in range(301, 340)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(31)} | {50: 50, 70: 50, 100: 50} | {k: 300 for k in range(300, 340)}
+
+
+def test_links_between_two_blocks_just_below_the_threshold():
+    """79 common of 99 grams; several grams of a alone fall into one gap of b."""
+    step = np.uint64(10 ** 15)
+    common, b_only = np.arange(1, 80, dtype=np.uint64) * step, np.arange(101, 110, dtype=np.uint64) * step
+    a = np.sort(np.concatenate([common, b_only[4] - np.arange(1, 12, dtype=np.uint64)]))
+    b = np.sort(np.concatenate([common, b_only]))
+    assert [f.tolist() for _, f in j._links([a], [b], False, 0.8)] == [[]]
+    assert [f.tolist() for _, f in j._links([a], [b], False, 0.79)] == [[0]]

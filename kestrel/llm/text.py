@@ -32,6 +32,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def drawn(h: Column, n: int, limit: int) -> Column:
+    """About ``limit`` of ``n`` rows by their 64-bit hash ``h``; every row, if
+    there are no more than that."""
+    if n <= limit:
+        return F.lit(True)
+    return F.shiftrightunsigned(h, 1) < F.lit((limit << 63) // n)
+
+
 def split_words(text: str | None) -> list[str]:
     """Python twin of :func:`plain_words` (ASCII white space only)."""
     if not text:

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.text import WordHash
+from kestrel.llm.text import WordHash, drawn
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -78,8 +78,10 @@ def training_sample(labels: DataFrame, label: str, train: Column, limit: int) ->
          .groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y")))
     y = materialize(y, "train-labels")
     n = y.count()
-    share = int(1_000_000 * min(1.0, limit / max(1, n)))
-    return y.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < share)
+    sample = y.where(drawn(F.xxhash64("doc_id", F.lit(17)), n, limit))
+    if n > limit and sample.isEmpty():
+        raise ValueError(f"no training label drawn from {n}")
+    return sample
 
 
 def words_of(text: str | None) -> list[str]:

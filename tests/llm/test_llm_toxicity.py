@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edge_data import SCHEMA, edge_rows, frame
 from kestrel.llm import toxicity as t
+from kestrel.llm.text import drawn
 
 LABELS = "doc_id long, quality int, toxic int, terms string"
 
@@ -116,3 +117,12 @@ def test_six_thousand_labels_are_all_examples(spark):
     labels = spark.range(6000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic", "'' AS terms")
     assert t.training_sample(labels, "toxic", F.lit(True), t.MAX_EXAMPLES).count() == 6000
     assert t.MAX_TERMS == 512
+
+
+def test_samples_of_huge_tables_are_not_empty(spark):
+    # 2,000 of 4e9 rows are less than one in a million
+    n = spark.range(20_000_000).where(drawn(F.xxhash64("id"), 4_000_000_000, 2000)).count()
+    assert 1 <= n <= 40
+    labels = spark.range(10).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic", "'' AS terms")
+    with pytest.raises(ValueError):
+        t.training_sample(labels, "toxic", F.lit(True), 0)

@@ -125,7 +125,8 @@ def example_words(examples: DataFrame) -> list[tuple[int, int, np.ndarray, np.nd
             found = [word_counts(t, known) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "h": [h.tobytes() for h, _ in found], "c": [c.astype(np.int32).tobytes() for _, c in found]})
 
-    rows = examples.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, h binary, c binary").collect()
+    found = examples.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, h binary, c binary")
+    rows = list(found.toLocalIterator())  # a partition at a time in the driver's JVM
     rows.sort(key=lambda r: (r["doc_id"], r["y"], r["h"], r["c"]))
     return [(r["doc_id"], r["y"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["c"], np.int32)) for r in rows]
 

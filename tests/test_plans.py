@@ -1,6 +1,6 @@
 """Physical-plan checks: pruning, pushdown and bounded broadcasts."""
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from kestrel.plans import all_queries
 
 

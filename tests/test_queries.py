@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from kestrel.plans import all_oracles, all_queries
 from kestrel.sources.tables import TABLES
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, feistel, line_crf, ngram_join, pii, quality_rules, sentencepiece_viterbi, token_orc, toxicity, warc
+from kestrel.llm import decontaminate, feistel, line_crf, ngram_join, pii, quality_rules, sentencepiece_viterbi, token_orc, toxicity, vector_codes, warc
 from kestrel.sources.tables import load
 
 SHARDS = 24
@@ -56,10 +56,44 @@ def op10_near_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.near_report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(load(spark, sf_dir, "embeddings")).drop("label")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, op10_near_phrases)}
+    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, op10_near_phrases, op11_orchard_codes)}
+
+
+
+def _orchard_sql() -> str:
+    """Two rounds of assignment by comparing every part with every entry."""
+    steps = ["""
+        k AS (SELECT row_number() OVER () AS r, vec_id, label::BIGINT AS label, embedding AS e FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        x AS MATERIALIZED (SELECT r, vec_id, e, p, list_transform(e[p * (len(e) // 16) + 1 : (p + 1) * (len(e) // 16)], lambda c: floor(256 * c)::BIGINT) AS v
+              FROM k, (SELECT unnest(range(16)) AS p)),
+        c0 AS MATERIALIZED (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST, e) - 1 AS i FROM x
+              QUALIFY i < 64)"""]
+    for n in range(3):
+        steps.append(f"""
+        d{n} AS (SELECT r, x.p, x.v, i, list_sum(list_transform(range(1, len(x.v) + 1), lambda j: (x.v[j] - c.v[j]) * (x.v[j] - c.v[j])))::BIGINT AS d
+              FROM x JOIN c{n} c ON c.p = x.p),
+        a{n} AS MATERIALIZED (SELECT r, p, any_value(v) AS v, arg_min(i, d * 64 + i) AS i, min(d) AS d FROM d{n} GROUP BY r, p)""")
+        if n < 2:
+            steps.append(f"""
+        u{n} AS (SELECT p, i, j, sum(x)::BIGINT AS s, count(*) AS n
+              FROM (SELECT p, i, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{n}) GROUP BY p, i, j),
+        m{n} AS (SELECT p, i, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM u{n} GROUP BY p, i),
+        c{n + 1} AS MATERIALIZED (SELECT p, i, coalesce(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (p, i))""")
+    return "WITH " + ",".join(steps) + """,
+        codes AS (SELECT r, string_agg(printf('%02x', i), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY r),
+        books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM c2)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM k JOIN codes USING (r), books"""
+
 
 ORACLES: dict[str, str] = {
+    "op11_orchard_codes": _orchard_sql(),
     "op5_warc_transactions": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),

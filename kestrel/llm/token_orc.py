@@ -10,7 +10,7 @@ skips files, stripes and strides by metadata alone.
 
 A text of plain characters whose spaces are single falls apart at its spaces
 into pieces that the byte-level pre-tokenizer can never join; the library's
-model encodes each distinct piece once per task (bounded memory). Any other
+model encodes each distinct piece once per Python worker (bounded memory). Any other
 text is encoded whole by the library.
 
 Defined cases: a null text is empty and holds only the end id; null doc_ids
@@ -52,28 +52,61 @@ def _is_plain(text: str) -> bool:
 class PieceIds(dict):
     """piece (as it stands after a space) -> its ids, little-endian uint32.
     The pre-tokenizer's pattern cuts a piece, the library's model encodes each
-    pre-token. At ``limit`` pieces the older half is forgotten."""
+    pre-token; a word with a run of marks behind it is cut without the
+    pattern, and single line feeds, which stand alone, cut a piece first. At
+    ``limit`` pieces the older half is forgotten."""
 
     def __init__(self, tok, limit: int):
         super().__init__()
-        self.model, self.limit = tok.model, limit
+        self.tokenize, self.limit = tok.model.tokenize, limit
+        self.bytes_of = [struct.pack("<I", i) for i in range(tok.get_vocab_size())]
         # byte-level spelling: printable Latin-1 bytes stand for themselves, the others follow from U+0100
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self.spelling = {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in printable)}
+        self.space = chr(self.spelling[0x20])
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
-        self.inner: dict[str, bytes] = {}  # pre-tokens that don't open a piece
+        self.marked = re.compile(r"([^\W\d_]+)([^\w\s']+)").fullmatch
+        self.line_feed = self.ids("\n")
+        self.inner: dict[str, bytes] = {}  # pre-tokens and line starts that no space precedes
 
     def ids(self, token: str) -> bytes:
-        t = [x.id for x in self.model.tokenize(token.encode().decode("latin-1").translate(self.spelling))]
-        return struct.pack(f"<{len(t)}I", *t)
+        if token.isascii() and token.isprintable():
+            spelled = token.replace(" ", self.space)
+        else:
+            spelled = token.encode().decode("latin-1").translate(self.spelling)
+        return b"".join([self.bytes_of[x.id] for x in self.tokenize(spelled)])
+
+    def inside(self, token: str) -> bytes:
+        ids = self.inner.get(token)
+        if ids is None:
+            ids = self.inner[token] = self.ids(token)
+        return ids
+
+    def line_start(self, part: str) -> bytes:
+        ids = self.inner.get(part)
+        if ids is None:
+            if len(self.inner) >= self.limit:
+                self.inner.clear()
+            ids = self.inner[part] = self.ids(part) if part.isalpha() else b"".join([self.inside(t) for t in self.cut(part)])
+        return ids
 
     def __missing__(self, piece: str) -> bytes:
+        if "\n" in piece:
+            head, *rest = piece.split("\n")
+            if all(rest):
+                return self.line_feed.join((self[head], *map(self.line_start, rest)))
         if len(self) >= self.limit:
             for old in list(itertools.islice(self, self.limit // 2)):
                 del self[old]
             self.inner.clear()
         if piece.isalpha():
             out = self.ids(" " + piece)
+        elif (m := self.marked(piece)) is not None:
+            word, marks = m.groups()
+            out = self.get(word)
+            if out is None:
+                out = self[word] = self.ids(" " + word)
+            out += self.inside(marks)
         else:
             first, *rest = self.cut(" " + piece)
             opened = first[1:]
@@ -83,10 +116,7 @@ class PieceIds(dict):
                 if opened.isalpha():
                     self[opened] = out
             for token in rest:
-                ids = self.inner.get(token)
-                if ids is None:
-                    ids = self.inner[token] = self.ids(token)
-                out += ids
+                out += self.inside(token)
         self[piece] = out
         return out
 
@@ -123,6 +153,17 @@ class PieceEncoder:
         return out
 
 
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def worker_encoder(tokenizer_file: str) -> PieceEncoder:
+    """One encoder for each Python worker: the tasks after its first start
+    with the pieces it knows."""
+    if tokenizer_file not in _encoders:
+        _encoders[tokenizer_file] = PieceEncoder(tokenizer_file)
+    return _encoders[tokenizer_file]
+
+
 def tokenized(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     """Rows of the file format, range-partitioned and sorted by doc_id."""
     s = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -133,7 +174,7 @@ def tokenized(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, first = PieceEncoder(tokenizer_file), 0
+        enc, first = worker_encoder(tokenizer_file), 0
         for whole in it:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, feistel, line_crf, ngram_join, pii, quality_rules, sentencepiece_viterbi, token_orc, toxicity, vector_codes, warc
+from kestrel.llm import conversation_repair, decontaminate, feistel, line_crf, ngram_join, pii, quality_rules, sentencepiece_viterbi, token_orc, toxicity, vector_codes, vector_packing, warc
 from kestrel.sources.tables import load
 
 SHARDS = 24
@@ -60,8 +60,18 @@ def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(load(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op12_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = load(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damage(conversations))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, op10_near_phrases, op11_orchard_codes)}
+    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, op10_near_phrases, op11_orchard_codes,
+    op12_cyk_repair, op13_vector_packing)}
 
 
 
@@ -94,6 +104,52 @@ def _orchard_sql() -> str:
 
 ORACLES: dict[str, str] = {
     "op11_orchard_codes": _orchard_sql(),
+    "op12_cyk_repair": r"""
+        WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+                                lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                                         lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS h FROM k),
+        d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                     CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+              FROM (SELECT *, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) FROM h WHERE h <> 0)),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+                     left(role, 1) AS initial, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM d),
+        g AS MATERIALIZED (SELECT *, CASE WHEN shown = '' THEN 'blank'
+                          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                          WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                     lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM n),
+        s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                     count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                     count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM g GROUP BY conv_id),
+        steps(p, r, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        eps(p, q, cost, audit) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'),
+                                          (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')),
+        m AS MATERIALIZED (SELECT conv_id, pos, p, p AS q, 2 AS cost, 'D' AS audit FROM g, (SELECT unnest(range(4)) AS p)
+              UNION ALL SELECT conv_id, pos, p, q, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K' FROM g JOIN steps ON r = initial
+                        WHERE fault NOT IN ('blank', 'duplicate')
+              UNION ALL SELECT conv_id, pos, p, q, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R' FROM g, steps
+                        WHERE r IN ('u', 'a') AND fault NOT IN ('blank', 'duplicate')),
+        w AS (SELECT conv_id, 0::BIGINT AS pos, q AS state, struct_pack(c := cost, a := audit) AS best FROM s, eps WHERE p = 0
+              UNION ALL
+              SELECT w.conv_id, w.pos + 1, e.q, min(struct_pack(c := w.best.c + m.cost + e.cost, a := w.best.a || m.audit || e.audit))
+              FROM w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.pos = w.pos + 1 AND m.p = w.state JOIN eps e ON e.p = m.q
+              GROUP BY ALL),
+        b AS MATERIALIZED (SELECT s.*, best.c AS cost, best.a AS audit FROM s JOIN (SELECT conv_id, pos, min(best) AS best FROM w WHERE state IN (0, 3) GROUP BY 1, 2) f
+              ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.pos = s.n),
+        o AS (SELECT conv_id, i, e, count(*) FILTER (e <> 'I') OVER u AS pos, count(*) FILTER (e <> 'D') OVER u AS place
+              FROM (SELECT conv_id, generate_subscripts(string_split(audit, ''), 1) AS i, unnest(string_split(audit, '')) AS e FROM b WHERE audit <> '')
+              WINDOW u AS (PARTITION BY conv_id ORDER BY i)),
+        y AS (SELECT o.conv_id, i, place, e, g.role, g.text,
+                     max(CASE WHEN place = 1 AND e = 'K' AND g.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY o.conv_id) AS sys
+              FROM o LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id AND g.pos = o.pos AND e <> 'I' WHERE e <> 'D'),
+        r AS (SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (place - 1 - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                                                || ':' || coalesce(text, ''), chr(10) ORDER BY i)) AS sha FROM y GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+               coalesce(sha, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op5_warc_transactions": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.category_stage import CategoryIndexer
 from kestrel.operators.ordered import global_row_number
 from kestrel.operators.quantiles import exact_quantiles
 from kestrel.storage import broadcast_if_small, materialize
@@ -102,21 +103,20 @@ def transform_target_encoder(df: DataFrame, cols: Sequence[str], fitted: DataFra
 
 # E5
 def fit_one_hot(train: DataFrame, col: str):
-    """StringIndexer (alphabetical, unseen/NULL -> extra index) + OneHotEncoder
-    (dropLast): unseen and NULL become the all-zero vector."""
-    idx = StringIndexer(inputCol=col, outputCol=f"{col}_idx", stringOrderType="alphabetAsc",
-                        handleInvalid="keep").fit(train)
+    """(dictionary stage, encoder): sorted categories, unseen and NULL get an
+    index past the last, whose vector is all zeros."""
+    idx = CategoryIndexer(inputCols=[col], outputCols=[f"{col}_idx"]).fit(train)
     ohe = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[f"{col}_vec"], dropLast=True,
-                        handleInvalid="error").fit(idx.transform(train))
+                        handleInvalid="keep").fit(idx.transform(train))
     return idx, ohe
 
 
 def one_hot_slot(df: DataFrame, col: str, idx, ohe) -> DataFrame:
     """Active position of the one-hot vector, NULL when all zeros."""
-    # the active position is the index itself; the last index (unseen, NULL) has none
+    # the active position is the index itself; the index past the last has none
     i = F.col(f"{col}_idx")
     v = ohe.transform(idx.transform(df))
-    return v.withColumn(f"{col}_slot", F.when(i < len(idx.labels), i.cast("int"))).drop(f"{col}_idx", f"{col}_vec")
+    return v.withColumn(f"{col}_slot", F.when(i < idx.getOrDefault("sizes")[0], i.cast("int"))).drop(f"{col}_idx", f"{col}_vec")
 
 
 # E6

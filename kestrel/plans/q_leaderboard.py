@@ -231,6 +231,9 @@ def u2_log_append_missing_columns(spark, sf):
            .select(F.lit(4).alias("sprint"), F.lit("tuning").alias("stage"), "model_key", "test_f1_mean", "oof_f1")
            .withColumn("log_timestamp", F.lit(None).cast("string")))
     path = io.scratch_path(spark, "experiment-log")
-    lb.append_log_table(old, path)
-    out = lb.append_log_table(lb.append_log(None, new), path)
+    lb.append_log_table(old, path, "sprint3-modeling")
+    lb.append_log_table(lb.append_log(None, new), path, "sprint4-tuning")
+    # a rerun of either sprint adds nothing
+    lb.append_log_table(old, path, "sprint3-modeling")
+    out = lb.append_log_table(lb.append_log(None, new), path, "sprint4-tuning")
     return _round_doubles(out.select(*_U2_OLD, "oof_f1"))

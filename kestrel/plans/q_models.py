@@ -7,6 +7,7 @@ and have brute-force oracle SQL.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalar import now_iso
@@ -15,49 +16,94 @@ from kestrel.operators import leaderboard as lb
 from kestrel.operators import metrics as mt
 from kestrel.operators import sampling as sp
 from kestrel.operators import training as tr
+from kestrel.plans import sqlgen as sg
+from kestrel.plans.q_sampling import SPLIT
 from kestrel.plans.registry import register
 from kestrel.plans.views import with_views
 from kestrel.sources import io, proxies
 from kestrel.sources.tables import load
+from kestrel.storage import materialize
 
 NUM = ["VehicleAge", "VehYear", "VehOdo", "VehBCost", "MMRAcquisitionAuctionAveragePrice", "WarrantyCost",
        "purchase_year", "purchase_month", "purchase_day", "purchase_dow", "odo_per_year", "warranty_cost_ratio",
        "age_x_odo"]
 CAT = ["Auction", "Make", "Model", "Size", "vehicle_age_group"]
-CV_MODELS = ("lr", "dt", "rf", "svm")
+CV_MODELS = ("lr", "dt", "rf", "knn", "svm")
 
 
 def _auction_xy(spark, sf):
     return proxies.auction(spark, sf)
 
 
-def _cv(spark, sf):
+def _cv(spark, sf, **options):
     a = _auction_xy(spark, sf)
     n = a.count()
     models = {k: v for k, v in tr.model_registry(n_train=n).items() if k in CV_MODELS}
-    # folds and models are fitted on concurrent driver threads
-    return tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models=models, k=5, parallelism=8)
+    # a fold's models are fitted on concurrent driver threads
+    return tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models=models, k=5, parallelism=8, **options)
 
 
 # ---------------------------------------------------------------- V1, V2, M1-M4, M7, M11
 @register("m1_m7_cv_oof_scores")
 def m1_m7_cv_oof_scores(spark, sf):
-    scores, _, _ = _cv(spark, sf)
+    scores, _, _ = _cv(spark, sf, time_scoring=False)
     return scores
 
 
 @register("v10_mllib_cv_leaderboard")
 def v10_mllib_cv_leaderboard(spark, sf):
-    """CV summary + OOF metrics + comparison for the real MLlib baselines."""
-    scores, times, methods = _cv(spark, sf)
-    folds = mt.fold_metrics(scores, ["model_key", "fold"], "test_").join(times, ["model_key", "fold"])
-    cv = mt.cv_summary(folds)
+    """CV summary, OOF metrics, train/test gap and comparison for the fitted
+    baselines, with their measured times."""
+    scores, times, methods = _cv(spark, sf, with_train_scores=True)
+    test, train = scores.where(F.col("split") == "test"), scores.where(F.col("split") == "train")
+    test_folds = materialize(mt.fold_metrics(test, ["model_key", "fold"], "test_"), "cv-test-folds")
+    train_folds = materialize(mt.fold_metrics(train, ["model_key", "fold"], "train_"), "cv-train-folds")
+    cv = materialize(mt.cv_summary(test_folds.join(times, ["model_key", "fold"])), "cv-summary")
     meth = F.create_map(*[F.lit(x) for kv in methods.items() for x in kv])
-    oof = mt.oof_metrics(scores).withColumn("score_method", meth[F.col("model_key")])
-    return lb.comparison_table(cv, oof)
-
-
-# ---------------------------------------------------------------- M8, M9, M10, S5
+    oof = materialize(mt.oof_metrics(test).withColumn("score_method", meth[F.col("model_key")]), "cv-oof")
+    return lb.comparison_table(cv, oof, mt.train_test_gap(train_folds, test_folds))
+
+
+@register("v11_fitted_train_test_gap")
+def v11_fitted_train_test_gap(spark, sf):
+    """Train/test gap of the fitted baselines."""
+    scores, _, _ = _cv(spark, sf, with_train_scores=True, time_scoring=False)
+    folds = {s: mt.fold_metrics(scores.where(F.col("split") == s), ["model_key", "fold"], f"{s}_") for s in ("train", "test")}
+    return mt.train_test_gap(folds["train"], folds["test"])
+
+
+_ORDERS = "(SELECT o_orderkey AS row_id, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS y FROM orders)"
+_KEYS = ", ".join(f"('{k}')" for k in CV_MODELS)
+
+
+@register("v1_v2_fitted_score_invariants", f"""
+SELECT model_key, count(*) AS test_rows, count(DISTINCT row_id) AS test_ids, sum(y) AS test_bad, 4 * count(*) AS train_rows,
+       count(DISTINCT row_id) AS train_ids, 5::BIGINT AS folds, true AS four_times_in_train, true AS never_both,
+       true AS in_range, true AS pred_follows_score, CASE model_key WHEN 'svm' THEN 'decision_function' ELSE 'predict_proba' END AS score_method
+FROM {_ORDERS}, (VALUES {_KEYS}) m(model_key) GROUP BY model_key""")
+def v1_v2_fitted_score_invariants(spark, sf):
+    """What five folds of any fit must satisfy, per model: every row once as a
+    test row and four times as a train row, never both in a fold; scores in
+    the range of their method, classes that follow them."""
+    scores, _, methods = _cv(spark, sf, with_train_scores=True, time_scoring=False)
+    test, train = F.col("split") == "test", F.col("split") == "train"
+    per_row = scores.groupBy("model_key", "row_id").agg(
+        F.count_if(test).alias("n_test"), F.count_if(train).alias("n_train"), F.count_distinct("fold").alias("n_folds"), F.max("y").alias("y"))
+    rows = per_row.groupBy("model_key").agg(
+        F.sum("n_test").alias("test_rows"), F.count_if(F.col("n_test") > 0).alias("test_ids"), F.sum(F.col("y").cast("long")).alias("test_bad"),
+        F.sum("n_train").alias("train_rows"), F.count_if(F.col("n_train") > 0).alias("train_ids"),
+        F.every(F.col("n_train") == 4).alias("four_times_in_train"), F.every(F.col("n_folds") == F.col("n_test") + F.col("n_train")).alias("never_both"))
+    probability = F.col("model_key") != "svm"
+    cut = F.when(probability, 0.5).otherwise(0.0)
+    by_score = scores.groupBy("model_key").agg(
+        F.count_distinct("fold").alias("folds"),
+        F.every(F.when(probability, F.col("score").between(0, 1)).otherwise(F.col("score").isNotNull())).alias("in_range"),
+        F.every((F.col("score") == cut) | ((F.col("score") > cut) == (F.col("pred") == 1))).alias("pred_follows_score"))
+    method = F.create_map(*[F.lit(x) for kv in methods.items() for x in kv])
+    return rows.join(by_score, "model_key").withColumn("score_method", method[F.col("model_key")])
+
+
+# ---------------------------------------------------------------- M7, M8, M9, M10, S5
 def _fit_on_split(spark, sf):
     a = sp.stratified_split(_auction_xy(spark, sf), "IsBadBuy", "row_id", 0.2)
     train = a.where(F.col("split") == "train")
@@ -88,6 +134,36 @@ def m9_batch_scores(spark, sf):
     return out
 
 
+_ESTIMATORS = {"lr": "LogisticRegression", "dt": "DecisionTreeClassification", "rf": "RandomForestClassification",
+               "knn": "KNeighborsClassifier", "svm": "LinearSVC"}
+
+
+@register("m7_m10_artifact_invariants", f"""
+WITH r AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY md5(CAST(row_id AS VARCHAR) || '-42'), row_id) AS rk,
+                  count(*) OVER (PARTITION BY y) AS n FROM {_ORDERS}),
+s AS (SELECT count(*) FILTER (WHERE rk <= round(n * 0.2)) AS n_test, count(*) FILTER (WHERE rk > round(n * 0.2)) AS n_train FROM r)
+SELECT model_key, estimator, n_train AS train_rows, {len(NUM) + len(CAT)}::BIGINT AS train_columns, 'trained' AS status, true AS artifact_exists,
+       5::BIGINT AS n_predictions, n_test AS batch_rows, n_test AS batch_ids, true AS reloaded_scores_equal
+FROM s, (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _ESTIMATORS.items())}) m(model_key, estimator)""")
+def m7_m10_artifact_invariants(spark, sf):
+    """Per model: manifest row, artifact, reload check, and batch scores of the
+    reloaded pipeline equal to those of the fitted one on the whole test split."""
+    a, fitted, n = _fit_on_split(spark, sf)
+    paths = tr.save_models(fitted, tr.artifact_root(spark))
+    test = materialize(a.where(F.col("split") == "test"), "test-split")
+    man = tr.manifest(spark, fitted, paths, "IsBadBuy", n, len(NUM) + len(CAT)).select(
+        "model_key", "estimator", "train_rows", "train_columns", "status")
+    check = tr.reload_check(spark, paths, test.orderBy("row_id").limit(5), "row_id").select("model_key", "artifact_exists", "n_predictions")
+    out = None
+    for mk, m in fitted.items():
+        again = tr.batch_score(PipelineModel.load(paths[mk]), test, "row_id").withColumnsRenamed({"prediction": "p2", "score": "s2"})
+        s = tr.batch_score(m, test, "row_id").join(again, "row_id").agg(
+            F.lit(mk).alias("model_key"), F.count(F.lit(1)).alias("batch_rows"), F.count_distinct("row_id").alias("batch_ids"),
+            F.every((F.col("prediction") == F.col("p2")) & (F.col("score") == F.col("s2"))).alias("reloaded_scores_equal"))
+        out = s if out is None else out.unionByName(s)
+    return man.join(check, "model_key").join(out, "model_key")
+
+
 # ---------------------------------------------------------------- M5 (exact k-NN classifier)
 _EMB_SPLIT = """emb_r AS (
   SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS is_zero,
@@ -195,8 +271,49 @@ def s1_s3_csv_round_trip(spark, sf):
     return io.read_csv(spark, path, schema=nation.schema)
 
 
+def _typed_round_trip(spark, sf, table):
+    """Written as CSV and read again without a schema."""
+    path = io.scratch_path(spark, f"csv-{table}")
+    io.write_table(load(spark, sf, table), path, fmt="csv")
+    return io.read_csv(spark, path, infer=True)
+
+
+@register("s1_csv_inferred_orders", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def s1_csv_inferred_orders(spark, sf):
+    return _typed_round_trip(spark, sf, "orders")
+
+
+@register("s1_csv_inferred_events", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def s1_csv_inferred_events(spark, sf):
+    return _typed_round_trip(spark, sf, "events")
+
+
 # ---------------------------------------------------------------- E9 (preprocessor)
-@register("e9_preprocessor_vectors")
+def _preprocessor_sql() -> str:
+    """Vector size and active entries from the rule: a scaled number is zero
+    where the filled value is the training median; a category has one entry,
+    unless it is unseen."""
+    feats = {"purchase_year": "year(PurchDate)", "purchase_month": "month(PurchDate)", "purchase_day": "day(PurchDate)",
+             "purchase_dow": "isodow(PurchDate) - 1", "odo_per_year": "VehOdo / (VehicleAge + 1.0)",
+             "warranty_cost_ratio": "WarrantyCost / (VehBCost + 1.0)", "age_x_odo": "VehicleAge * VehOdo",
+             "vehicle_age_group": "CASE WHEN VehicleAge > -1 AND VehicleAge <= 2 THEN 'nuevo' WHEN VehicleAge > 2 AND VehicleAge <= 5 THEN 'semi_nuevo' "
+                                  "WHEN VehicleAge > 5 AND VehicleAge <= 10 THEN 'usado' WHEN VehicleAge > 10 AND VehicleAge <= 30 THEN 'antiguo' END"}
+    nums = ", ".join(f"CAST({feats.get(c, c)} AS DOUBLE) AS {c}" for c in NUM)
+    cats = ", ".join(f"CAST({feats.get(c, c)} AS VARCHAR) AS {c}" for c in CAT)
+    modes = ", ".join(f"(SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode_{c}" for c in CAT)
+    n_cats = " + ".join(f"(SELECT count(DISTINCT coalesce({c}, mode_{c})) FROM tr, m)" for c in CAT)
+    active = " + ".join(f"CAST(coalesce({c}, (SELECT value FROM med WHERE column_name = '{c}')) <> "
+                        f"(SELECT value FROM med WHERE column_name = '{c}') AS INTEGER)" for c in NUM)
+    seen = " + ".join(f"CAST(coalesce({c}, mode_{c}) IN (SELECT coalesce({c}, mode_{c}) FROM tr, m) AS INTEGER)" for c in CAT)
+    ctes = f"""f AS (SELECT row_id, split, {nums}, {cats} FROM split_a),
+tr AS (SELECT * FROM f WHERE split = 'train'),
+med AS (SELECT column_name, value FROM {sg.quantiles("tr", NUM, [0.5])} q),
+m AS (SELECT {modes})"""
+    body = f"SELECT row_id, split, CAST({len(NUM)} + {n_cats} AS INTEGER) AS n_features, {active} + {seen} AS n_active FROM f, m"
+    return with_views(body, "auction", extra=(SPLIT, ctes))
+
+
+@register("e9_preprocessor_vectors", _preprocessor_sql())
 def e9_preprocessor_vectors(spark, sf):
     """Fit the preprocessor on the training split, transform every row:
     vector size and number of active entries per row."""
@@ -232,14 +349,14 @@ SELECT model_key, count(*) AS n_rows, count(DISTINCT row_id) AS n_ids, sum(y) AS
 FROM (SELECT o_orderkey AS row_id, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS y FROM orders),
      (VALUES ('dt'), ('nb')) m(model_key) GROUP BY model_key""")
 def s4_partial_scores_resume(spark, sf):
-    """Cross-validation that writes each model's scores when they are there;
-    a second run fits only the models that the first one did not finish."""
+    """Cross-validation that writes each unit's (model and fold) scores when
+    they are there; a second run fits only units that the first did not finish."""
     a = _auction_xy(spark, sf)
     models = tr.model_registry(include_optional=True)
     path = io.scratch_path(spark, "partial-scores")
     for wanted in (["nb"], ["nb", "dt"]):
-        tr.cross_validate_resumable(a, "IsBadBuy", "row_id", NUM, CAT, {k: models[k] for k in wanted}, path, k=3, parallelism=3)
-    return spark.read.parquet(path).groupBy("model_key").agg(
+        tr.cross_validate_resumable(a, "IsBadBuy", "row_id", NUM, CAT, {k: models[k] for k in wanted}, path, k=3)
+    return tr.read_partial_scores(spark, path).groupBy("model_key").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"), F.sum("y").alias("n_bad"))
 
 

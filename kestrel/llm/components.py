@@ -48,3 +48,17 @@ def _star(e: DataFrame, larger: bool) -> DataFrame:
     else:
         out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return out.where("a <> b").distinct()
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of their group (``groups``: one row per
+    ``key``, written, with ``_n`` rows in each). Groups with a thousandth of
+    all rows, at most 1,000 of them, are broadcast; the others meet by
+    shuffle, no large group among them."""
+    total = groups.agg(F.sum("_n")).first()[0] or 0
+    large = F.col("_n") * 1000 >= total
+    hot, cold = groups.where(large).drop("_n"), groups.where(~large).drop("_n")
+    out = rows.join(F.broadcast(hot), key)
+    if cold.isEmpty():
+        return out
+    return out.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.components import connected_components
+from kestrel.llm.components import connected_components, join_groups
 from kestrel.llm.text import WordHash, mix, split_words, words_key
 from kestrel.storage import broadcast_if_small, materialize
 
@@ -204,7 +204,8 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: flo
 
 
 def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
-    """(doc_id, key, class_id, n_links) of every document."""
+    """(doc_id, key, root, class_id, n_links) of every document; root, the
+    least key of its class, tells classes apart even where doc_ids repeat."""
     bands, rows = choose_bands(threshold, recall, MAX_HASHES)
     signed = materialize(band_table(docs, bands, rows), "bands")
     reps = materialize(signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
@@ -213,34 +214,35 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     found = materialize(verified(docs, reps, groups, threshold), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
-    named = (roots.join(reps.select(F.col("key").alias("node"), "doc_id"), "node")
-             .groupBy("root").agg(F.min("doc_id").alias("class_id")))
-    linked = materialize(roots.join(named, "root").select(F.col("node").alias("key"), "class_id").join(links, "key"), "classes")
+    named = materialize(roots.join(reps.select(F.col("key").alias("node"), "doc_id"), "node")
+                        .groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("_n")), "class-names")
+    linked = materialize(join_groups(roots, named, "root").select(F.col("node").alias("key"), "root", "class_id").join(links, "key"), "classes")
     per_key = materialize(reps.select("key", "doc_id", "copies").join(linked, "key", "left").select(
-        "key", F.coalesce("class_id", "doc_id").alias("class_id"),
+        "key", F.coalesce("root", "key").alias("root"), F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "per-key")
 
     base = docs.select("doc_id", words_key(F.col("text")).alias("key"))
     return base.join(per_key, "key", "left").select(
-        "doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "key", "root", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, the one that names it, and
-    all texts without words; columns unchanged. Of rows that repeat the
-    naming doc_id, one with the least key stays."""
-    s = materialize(similar_documents(docs, threshold).where(F.col("key").isNotNull()), "similar")
-    named = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    first = materialize(s.where(named).groupBy("class_id").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")), "first")
-    # keys to drop: whatever doesn't name its class, and further keys under the naming doc_id
-    clash = (s.where(named).join(first.where("n > 1"), "class_id").where("key <> first_key").select("doc_id", "key"))
-    gone = s.where(~named).select("doc_id", "key").union(clash).distinct()
+    """``docs`` with one document of each class and all texts without words;
+    columns unchanged. Of a class the smallest doc_id stays (nulls last, then
+    the least key); classes are told apart by their root, so unlike texts
+    under one doc_id both stay. Of rows that repeat both doc_id and text, the
+    one with the least other columns stays."""
+    s = materialize(similar_documents(docs, threshold).where(F.col("key").isNotNull()).select("doc_id", "key", "root"), "similar")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), F.col("key").alias("least"))
+    classes = materialize(s.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("first")).where("_n > 1"), "larger-classes")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc")) & (F.col("key") == F.col("first.least"))
+    gone = join_groups(s, classes, "root").where(~stays).select("doc_id", "key").distinct()
     gone = materialize(gone.select(F.col("doc_id").alias("gone_doc"), F.col("key").alias("gone_key")), "gone")
     gone = broadcast_if_small(gone, MAX_BROADCAST_ROWS)
     on = docs["doc_id"].eqNullSafe(gone["gone_doc"]) & (words_key(docs["text"]) == gone["gone_key"])
     left = docs.join(gone, on, "left_anti")
-    twice = s.where(named).groupBy("doc_id", "key").count().where("count > 1")
+    twice = s.groupBy("doc_id", "key").count().where("count > 1")
     if twice.isEmpty():
         return left
     # the very same row more than once: only these are brought together

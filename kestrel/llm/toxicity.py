@@ -1,43 +1,48 @@
 """Toxicity by nearest labelled examples (operator 4).
 
-1. Words that are significantly more frequent in toxic texts, by chi-square
-   over the distinct texts of a bounded sample of labelled training rows, are
-   the terms (at most ``MAX_TERMS``).
-2. TF-IDF vectors over these terms, and over all words of the examples;
-   document frequencies count all documents.
-3. Texts with a term: a block-max inverted index over the sample's vectors: postings of a term
-   are cut into blocks of ``BLOCK`` examples, each with its largest weight.
-   A query bounds every block's best possible cosine from these maxima,
-   visits blocks from the highest bound down and stops when no block can
-   reach the k-th best: the k nearest examples are exact.
-4. Texts without a term are compared by their whole vectors with the whole
-   vectors of all examples (``WholeIndex``), so rare words match too; a text
-   whose vector equals examples' takes their smoothed rate.
-5. Votes weighted by inverse cosine distance give a raw score; isotonic
-   regression on leave-one-out scores of the examples, with and without a term
-   apart, calibrates it. Evidence: the nearest examples by terms; without a
-   term, the toxic ones among the nearest by all words.
-
-The model is bounded (``MAX_EXAMPLES`` labelled rows and their words) and
-travels with the task; every document is scored by its task alone.
-
-Defined cases: texts that share no word with an example get the rate of the
-examples without a term; words of no example only lengthen a text's vector, as
-if in no document; 64-bit hashes stand for words; rows without a label, and
-held-out rows, are never learnt from; of several labels of a doc_id the
-largest counts; repeated rows get equal scores; equal similarities are ranked
-by example number; without usable labels every score is the smoothed rate; an
-empty table gives no rows; other columns are ignored.
+1. Examples: a bounded sample of labelled training rows (``MAX_EXAMPLES``).
+   Their texts become unit TF-IDF vectors over all their words; document
+   frequencies count all documents.
+2. A block-max inverted index holds the vectors: examples are ordered by
+   likeness and cut into blocks of ``BLOCK``; the most frequent words are
+   dense columns of a block, all others postings by (word, block); every word
+   keeps its largest weight in every block. A query bounds each block's best
+   possible cosine from these maxima, visits blocks from the highest bound
+   down, some at a time, and stops when no block left can reach its k-th best:
+   the ``NEIGHBOURS`` nearest examples are exact.
+3. Every text's neighbours vote, weighted by inverse cosine distance. Beside
+   the vote stand the ``STRONGEST`` largest word scores of the text: how far
+   a word's toxic examples exceed chance (hypergeometric z over distinct
+   texts). No word is chosen or cut; a logistic regression on the examples'
+   leave-one-out votes and word scores turns these into a calibrated score. A
+   text equal to examples takes their smoothed rate. Evidence: the nearest toxic
+   examples with their cosines.
+
+The examples' arrays are broadcast once (bounded by ``MAX_EXAMPLES``); a Python
+worker builds the index from them when it first needs it and keeps it for its
+later tasks. The driver holds these arrays, no texts and no index; the
+leave-one-out search is a Spark job too.
+
+Defined cases: texts that share no word with an example get the examples'
+smoothed rate; words of no example only lengthen a
+text's vector, as if in no document; 64-bit hashes stand for words; rows
+without a label, and held-out rows, are never learnt from; of several labels
+of a doc_id the largest counts; repeated rows get equal scores; equal
+similarities are ranked by example number; with labels of one kind only, or
+none, every score is the smoothed rate; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.text import WordHash, drawn
@@ -45,23 +50,26 @@ from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 512
-MIN_TERM_ROWS = 5
-#: chi-square, one degree of freedom, upper tail 1e-7
-MIN_CHI2 = 28.4
 BLOCK = 64
-NEIGHBOURS = 15
+NEIGHBOURS = 50
+STRONGEST = 3
 EVIDENCE = 3
 CUT = 0.5
-#: words kept as dense columns of the whole vectors; the others are postings
-MAX_DENSE = 256
-#: texts compared at once, and counts of words sent on at once
-BATCH, CHUNK = 16, 65_536
+#: words kept as dense columns of the blocks; the others are postings
+MAX_DENSE = 512
+#: groups that examples are ordered by
+CLUSTERS = 32
+#: texts searched at once, blocks visited in a query's first turn, growth of the later turns, words counted on at once
+BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 32, 4, 8, 65_536
+#: scores that a worker remembers by vector
+MAX_SCORED = 20_000
 #: cosines from here on are those of equal vectors
 EQUAL = 1 - 1e-9
 
 _WORD = re.compile(r"[^\W\d_]+")
 
+Vector = tuple[np.ndarray, np.ndarray]
+
 
 def fold(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
@@ -88,37 +96,55 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _distinct_words(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for t in texts:
-        yield t.map(lambda x: list(set(words_of(x))))
+def word_counts(text: str | None, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending hashes of the text's distinct words, their counts)."""
+    return np.unique(known.array(words_of(text)), return_counts=True)
+
+
+def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``h`` are in the ascending vocabulary, their places there)."""
+    at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
+    here = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), dtype=bool)
+    return here, at[here]
 
 
-def choose_terms(examples: DataFrame) -> list[str]:
-    """Terms that are more frequent in toxic texts, by chi-square over the
-    distinct (y, text); at most MAX_TERMS come back."""
-    examples = examples.select("y", "text").distinct()
-    n = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1 or not n0:
-        return []
-    seen = (examples.select("y", F.explode(F.pandas_udf(_distinct_words, "array<string>")("text")).alias("term")).groupBy("term")
-            .agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= MIN_TERM_ROWS))
-    a, df, total = F.col("a"), F.col("df"), n0 + n1
-    b = df - a
-    chi2 = F.try_divide(total * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)), df * (total - df) * float(n1) * float(n0))
-    rows = (seen.where(df < total).withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (a * n0 > b * n1))
-            .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect())
-    return sorted(r["term"] for r in rows)
+class Examples:
+    """The bounded example set in plain arrays: doc_id, label, and the words'
+    vocabulary positions and counts, example after example."""
 
+    def __init__(self, doc_id: list[int], y: list[int], words: list[np.ndarray], counts: list[np.ndarray]):
+        self.doc_id, self.y = np.array(doc_id, dtype=np.int64), np.array(y, dtype=float)
+        flat = np.concatenate([np.empty(0, np.uint64), *words])
+        self.vocabulary = np.unique(flat)
+        self.word = np.searchsorted(self.vocabulary, flat).astype(np.int32)
+        self.count = np.concatenate([np.empty(0, np.int32), *counts])
+        self.start = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+        self.idf, self.unseen = np.ones(len(self.vocabulary)), 1.0
 
-def word_counts(text: str | None, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending hashes of the text's distinct words, their counts)."""
-    return np.unique(known.array(words_of(text)), return_counts=True)
+    def __len__(self) -> int:
+        return len(self.y)
 
+    def weigh(self, n: int, df: np.ndarray) -> None:
+        """Inverse document frequencies from those of all n documents."""
+        self.idf, self.unseen = np.log((1 + n) / (1 + df)) + 1, float(np.log(1 + n) + 1)
 
-def example_words(examples: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(doc_id, y, word hashes, counts) of every example; at most about
-    MAX_EXAMPLES come back."""
+    def vector(self, i: int) -> Vector:
+        a, z = self.start[i], self.start[i + 1]
+        w = (1 + np.log(self.count[a:z])) * self.idf[self.word[a:z]]
+        return self.word[a:z], w / np.sqrt((w * w).sum()) if z > a else w
+
+    def query(self, h: np.ndarray, c: np.ndarray) -> Vector:
+        """Unit vector of any text over the vocabulary; its other words count
+        in its length."""
+        here, at = positions(h, self.vocabulary)
+        tf = 1 + np.log(c)
+        w = tf[here] * self.idf[at]
+        length = np.sqrt((w * w).sum() + ((tf[~here] * self.unseen) ** 2).sum())
+        return at, w / length if len(at) else w
+
+
+def read_examples(examples: DataFrame) -> Examples:
+    """Words of every example, a partition at a time in the driver's JVM."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHash()
         for b in it:
@@ -126,26 +152,21 @@ def example_words(examples: DataFrame) -> list[tuple[int, int, np.ndarray, np.nd
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "h": [h.tobytes() for h, _ in found], "c": [c.astype(np.int32).tobytes() for _, c in found]})
 
     found = examples.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, h binary, c binary")
-    rows = list(found.toLocalIterator())  # a partition at a time in the driver's JVM
-    rows.sort(key=lambda r: (r["doc_id"], r["y"], r["h"], r["c"]))
-    return [(r["doc_id"], r["y"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["c"], np.int32)) for r in rows]
-
-
-def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which of ``h`` are in the ascending vocabulary, their places there)."""
-    at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
-    here = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), dtype=bool)
-    return here, at[here]
+    rows = sorted((r["doc_id"], r["y"], bytes(r["h"]), bytes(r["c"])) for r in found.toLocalIterator())
+    return Examples([r[0] for r in rows], [r[1] for r in rows], [np.frombuffer(r[2], np.uint64) for r in rows], [np.frombuffer(r[3], np.int32) for r in rows])
 
 
 def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each word of the vocabulary;
     counted per task, so a chunk of words is one row a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, n = WordHash(), np.zeros(len(vocabulary) + 1, dtype=np.int64)
+        known, words = _worker_words(), shared.value
+        n = np.zeros(len(words) + 1, dtype=np.int64)
         for b in batches:
             for t in b["text"]:
-                n[positions(word_counts(t, known)[0], vocabulary)[1]] += 1
+                n[positions(word_counts(t, known)[0], words)[1]] += 1
                 n[-1] += 1
         at = range(0, len(n), CHUNK)
         yield pd.DataFrame({"chunk": [a // CHUNK for a in at], "n": [n[a:a + CHUNK].tobytes() for a in at]})
@@ -156,105 +177,150 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
 
     schema = "chunk int, n binary"
     rows = docs.select("text").mapInPandas(run, schema).groupBy("chunk").applyInPandas(add, schema).collect()
+    shared.unpersist()
     if not rows:
         return 0, np.zeros(len(vocabulary), dtype=np.int64)
     n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in sorted(rows, key=lambda r: r["chunk"])])
     return int(n[-1]), n[:-1]
 
 
+def like_order(dense: np.ndarray) -> np.ndarray:
+    """Order of the rows that puts like ones beside each other: clusters by two
+    turns of k-means on directions, within one by closeness to its centre."""
+    length = np.sqrt((dense * dense).sum(axis=1))
+    unit = dense / np.where(length > 0, length, 1)[:, None]
+    centres = unit[np.linspace(0, len(unit) - 1, min(CLUSTERS, len(unit))).astype(int)]
+    for _ in range(2):
+        near = (unit @ centres.T).argmax(axis=1)
+        sums = np.stack([unit[near == c].sum(axis=0) for c in range(len(centres))])
+        size = np.sqrt((sums * sums).sum(axis=1))
+        centres = np.where(size[:, None] > 0, sums / np.where(size > 0, size, 1)[:, None], centres)
+    close = unit @ centres.T
+    near = close.argmax(axis=1)
+    return np.lexsort((np.arange(len(unit)), -close[np.arange(len(unit)), near], near))
+
+
 class BlockMaxIndex:
-    """Unit vectors of examples as postings by term, with block maxima."""
-
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(rows)
-        self.n_blocks = max(1, -(-self.n // BLOCK))
-        by_term: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for i, (t, w) in enumerate(rows):
-            for a, b in zip(t.tolist(), w.tolist(), strict=True):
-                by_term[a].append((i, b))
-        self.row = [np.array([x[0] for x in p], dtype=np.int32) for p in by_term]
-        self.weight = [np.array([x[1] for x in p]) for p in by_term]
-        edges = np.arange(self.n_blocks + 1) * BLOCK
-        self.at = [np.searchsorted(r, edges) for r in self.row]
-        self.block_max = np.zeros((n_terms, self.n_blocks))
-        for t, (r, w) in enumerate(zip(self.row, self.weight, strict=True)):
-            np.maximum.at(self.block_max[t], r // BLOCK, w)
-        self.visited = 0
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, cosines) of the k nearest, by falling cosine, then row."""
-        bound = weights @ self.block_max[terms]
-        order = np.argsort(-bound, kind="stable")
-        rows, sims = np.empty(0, dtype=np.int64), np.empty(0)
-        for block in order:
-            if bound[block] <= 0 or (len(sims) == k and bound[block] < sims[-1] - 1e-9):
-                break
-            self.visited += 1
-            acc = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                a, b = self.at[t][block], self.at[t][block + 1]
-                acc[self.row[t][a:b] - block * BLOCK] += w * self.weight[t][a:b]
-            if block * BLOCK <= but < (block + 1) * BLOCK:
-                acc[but - block * BLOCK] = 0
-            hit = np.flatnonzero(acc > 0)
-            rows, sims = np.concatenate([rows, block * BLOCK + hit]), np.concatenate([sims, acc[hit]])
-            top = np.lexsort((rows, -np.round(sims, 9)))[:k]
-            rows, sims = rows[top], sims[top]
-        return rows, sims
-
-
-class WholeIndex:
-    """Unit vectors of the examples over all their words: the most frequent
-    words as dense columns, the others as postings. Every cosine is computed."""
-
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_words: int):
-        self.n = len(rows)
-        word = np.concatenate([t for t, _ in rows]) if rows else np.empty(0, np.int64)
-        order = np.argsort(word, kind="stable")
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in rows])[order]
-        self.weight = (np.concatenate([w for _, w in rows]) if rows else np.empty(0))[order]
-        length = np.bincount(word, minlength=n_words)
-        self.start = np.concatenate([[0], np.cumsum(length)])
+    """Unit vectors (words, weights) as blocks of rows, dense columns and
+    postings, with each word's largest weight in each block."""
+
+    def __init__(self, vectors: list[Vector], n_words: int):
+        self.n, self.n_blocks = len(vectors), max(1, -(-len(vectors) // BLOCK))
+        word = np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
+        weight = np.concatenate([np.empty(0), *(w for _, w in vectors)])
+        row = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
+        frequent = np.argsort(-np.bincount(word, minlength=n_words), kind="stable")[:MAX_DENSE]
         self.column = np.full(n_words, -1, dtype=np.int32)
-        self.frequent = np.argsort(-length, kind="stable")[:MAX_DENSE]
-        self.column[self.frequent] = np.arange(len(self.frequent))
-        self.dense: np.ndarray | None = None
+        self.column[frequent] = np.arange(len(frequent))
+        dense = np.zeros((self.n_blocks * BLOCK, max(1, len(frequent))))
+        often = self.column[word] >= 0
+        dense[row[often], self.column[word[often]]] = weight[often]
+        order = like_order(dense[:self.n]) if self.n else np.empty(0, dtype=np.int64)
+        self.number = np.full(self.n_blocks * BLOCK, -1, dtype=np.int64)  # place -> row
+        self.number[:self.n] = order
+        place = np.empty(self.n, dtype=np.int64)
+        place[order] = np.arange(self.n)
+        dense[:self.n] = dense[order]
+        self.dense = dense.reshape(self.n_blocks, BLOCK, -1)
+        self.dense_max = self.dense.max(axis=1)
+        word, weight, at = word[~often], weight[~often], place[row[~often]]
+        by = np.lexsort((at, word))
+        word, self.weight, at = word[by], weight[by], at[by]
+        self.inside = (at % BLOCK).astype(np.int64)
+        block = at // BLOCK
+        first = np.flatnonzero(np.diff(word * self.n_blocks + block, prepend=-1))
+        self.segment = np.append(first, len(word))  # postings of one word in one block
+        self.segment_block = block[first]
+        self.segment_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.segments_of = np.searchsorted(word[first], np.arange(n_words + 1))
+        self.visited = self.opened = self.searched = 0
+
+    def nearest(self, queries: list[Vector], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(rows, cosines) of the k nearest of each query with a cosine above
+        0, by falling cosine, then row; without row ``but[i]`` for query i."""
+        out = []
+        for a in range(0, len(queries), BATCH):
+            out += self._some(queries[a:a + BATCH], k, None if but is None else but[a:a + BATCH])
+        return out
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"dense": None}  # built again by each task
-
-    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """(queries x examples) of unit vectors (words, weights)."""
-        if self.dense is None:
-            self.dense = np.zeros((len(self.frequent), self.n))
-            for k, t in enumerate(self.frequent):
-                a, b = self.start[t], self.start[t + 1]
-                self.dense[k, self.row[a:b]] = self.weight[a:b]
+    def _some(self, queries: list[Vector], k: int, but: list[int] | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        m, blocks = len(queries), self.n_blocks
         word = np.concatenate([t for t, _ in queries])
         weight = np.concatenate([w for _, w in queries])
-        which = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries])
+        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
         column = self.column[word]
         often = column >= 0
-        q = np.zeros((len(queries), len(self.frequent)))
-        q[which[often], column[often]] = weight[often]
-        word, weight, which = word[~often], weight[~often], which[~often]
-        size = self.start[word + 1] - self.start[word]
-        at = np.repeat(self.start[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        cell = np.repeat(which * self.n, size) + self.row[at]
-        rare = np.bincount(cell, np.repeat(weight, size) * self.weight[at], len(queries) * self.n)
-        return q @ self.dense + rare.reshape(len(queries), self.n)
-
-    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(rows, cosines) of the k nearest of each query, by falling cosine,
-        then row; without row ``but[i]`` for query i."""
-        for a in range(0, len(queries), BATCH):
-            for i, s in enumerate(self.cosines(queries[a:a + BATCH])):
-                if but is not None:
-                    s[but[a + i]] = 0
-                least = np.partition(s, -k)[-k] if self.n > k else 0
-                hit = np.flatnonzero((s > 1e-12) & (s >= least - 1e-8))
-                top = hit[np.lexsort((hit, -np.round(s[hit], 9)))[:k]]
-                yield top, s[top]
+        q = np.zeros((m, self.dense.shape[2]))
+        q[who[often], column[often]] = weight[often]
+        # the segments of the queries' other words
+        word, weight, who = word[~often], weight[~often], who[~often]
+        size = self.segments_of[word + 1] - self.segments_of[word]
+        seg = np.repeat(self.segments_of[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        seg_weight, cell = np.repeat(weight, size), np.repeat(who * blocks, size) + self.segment_block[seg]
+        rare = np.bincount(cell, seg_weight * self.segment_max[seg], m * blocks).reshape(m, blocks)
+        # in products small enough to stay on one thread
+        bound = rare + np.concatenate([q @ self.dense_max[b:b + BATCH].T for b in range(0, blocks, BATCH)], axis=1)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        bound = np.take_along_axis(bound, order, axis=1)
+        who, rows, sims = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+        left = None if but is None else np.array(but)
+        done, turn, least = 0, FIRST_TURN, np.full(m, 1e-12)
+        while done < blocks:
+            go = bound[:, done:done + turn] >= least[:, None] - 1e-9
+            if not go.any():
+                break
+            visited = order[:, done:done + turn]
+            new = self._visit(q, visited, go, rare, least, seg, seg_weight, cell)
+            # only rows that can still be among the k nearest go on
+            i, at = np.nonzero(new >= least[:, None] - 1e-8)
+            r = self.number[visited[i, at // BLOCK] * BLOCK + at % BLOCK]
+            if left is not None:
+                other = r != left[i]
+                i, at, r = i[other], at[other], r[other]
+            who, rows, sims = np.concatenate([who, i]), np.concatenate([rows, r]), np.concatenate([sims, new[i, at]])
+            by = np.lexsort((rows, -np.round(sims, 9), who))
+            who, rows, sims = who[by], rows[by], sims[by]
+            rank = np.arange(len(who)) - np.searchsorted(who, who)
+            best = rank < k
+            who, rows, sims, rank = who[best], rows[best], sims[best], rank[best]
+            least[who[rank == k - 1]] = sims[rank == k - 1]
+            done, turn = done + turn, turn * TURN_GROWTH
+        self.searched += m
+        edges = np.searchsorted(who, np.arange(m + 1))
+        some = sims > 1e-12
+        return [(rows[a:z][some[a:z]], sims[a:z][some[a:z]]) for a, z in zip(edges[:-1], edges[1:], strict=True)]
+
+    def _visit(self, q: np.ndarray, blocks: np.ndarray, go: np.ndarray, rare: np.ndarray, least: np.ndarray, seg: np.ndarray,
+               seg_weight: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Cosines of each query with the rows of its blocks, queries x (blocks
+        x BLOCK); 0 where it does not go, and where a block's best dense part
+        and the bound of its postings stay below the query's k-th best."""
+        m, turn = blocks.shape
+        out = np.zeros((m, turn, BLOCK))
+        who, nth = np.nonzero(go)
+        block = blocks[who, nth]
+        self.visited += len(who)
+        by = np.argsort(block, kind="stable")
+        edges = np.flatnonzero(np.diff(block[by], prepend=-1, append=-1))
+        can = np.empty(len(who), dtype=bool)
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            at = by[a:z]
+            i, b = who[at], block[at[0]]
+            part = q[i] @ self.dense[b].T
+            enough = part.max(axis=1) + rare[i, b] >= least[i] - 1e-9
+            can[at] = enough
+            out[i[enough], nth[at[enough]]] = part[enough]
+        who, nth, block = who[can], nth[can], block[can]
+        slot = np.full(m * self.n_blocks, -1, dtype=np.int64)
+        slot[who * self.n_blocks + block] = who * turn + nth
+        slot = slot[cell]
+        here = np.flatnonzero(slot >= 0)
+        seg, seg_weight, slot = seg[here], seg_weight[here], slot[here]
+        self.opened += len(who)
+        size = self.segment[seg + 1] - self.segment[seg]
+        p = np.repeat(self.segment[seg] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        place = np.repeat(slot * BLOCK, size) + self.inside[p]
+        return (out.ravel() + np.bincount(place, np.repeat(seg_weight, size) * self.weight[p], out.size)).reshape(m, turn * BLOCK)
 
 
 def vote(y: np.ndarray, sims: np.ndarray) -> float:
@@ -262,156 +328,152 @@ def vote(y: np.ndarray, sims: np.ndarray) -> float:
     return float((votes * y).sum() / votes.sum())
 
 
-def isotonic(raw: list[float | None], y: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
-    """Isotonic regression (pool adjacent violators) of the labels on the raw
-    scores: step edges and levels."""
-    pairs = sorted((round(r, 6), y) for r, y in zip(raw, y, strict=True) if r is not None)
-    blocks: list[list[float]] = []  # edge, sum, count
-    for r, y in pairs:
-        if blocks and blocks[-1][0] == r:
-            blocks[-1][1] += y
-            blocks[-1][2] += 1
-        else:
-            blocks.append([r, y, 1])
-    pooled: list[list[float]] = []
-    for e, s, c in blocks:
-        pooled.append([e, s, c])
-        while len(pooled) > 1 and pooled[-2][1] * pooled[-1][2] >= pooled[-1][1] * pooled[-2][2]:
-            _, s2, c2 = pooled.pop()
-            pooled[-1][1] += s2
-            pooled[-1][2] += c2
-    if not pooled:
-        return np.array([0.0]), np.array([otherwise])
-    return np.array([b[0] for b in pooled]), np.array([(b[1] + 0.1) / (b[2] + 0.2) for b in pooled])
-
-
-def calibrated(raw: float, steps: tuple[np.ndarray, np.ndarray]) -> float:
-    edges, levels = steps
-    level = float(levels[max(0, np.searchsorted(edges, raw + 1e-9, side="right") - 1)])
-    # within a level the raw score still ranks
-    return min(1.0, max(0.0, level + 1e-4 * (raw - 0.5)))
+class WordScores:
+    """How far each word's toxic examples exceed chance, over distinct
+    (label, text)."""
+
+    def __init__(self, examples: Examples):
+        seen, size = set(), len(examples.vocabulary)
+        self.toxic, self.clean, self.n = np.zeros(size), np.zeros(size), [0, 0]
+        for i in range(len(examples)):
+            a, z = examples.start[i], examples.start[i + 1]
+            key = examples.y[i], examples.word[a:z].tobytes(), examples.count[a:z].tobytes()
+            if key not in seen:
+                seen.add(key)
+                (self.toxic if examples.y[i] else self.clean)[examples.word[a:z]] += 1
+                self.n[int(examples.y[i])] += 1
+
+    def strongest(self, words: np.ndarray, own: float | None = None) -> list[float]:
+        """The largest scores among the words; without the text itself, if it
+        is an example of label ``own``."""
+        toxic, clean, (n0, n1) = self.toxic[words], self.clean[words], self.n
+        if own is not None:
+            toxic, clean, n0, n1 = toxic - own, clean - (1 - own), n0 - (1 - own), n1 - own
+        df, n = toxic + clean, n0 + n1
+        share = n1 / n if n else 0.0
+        var = df * share * (1 - share) * (n - df) / max(n - 1, 1)
+        z = np.where(var > 0, (toxic - df * share - 0.5) / np.sqrt(np.where(var > 0, var, 1)), 0)
+        top = np.sort(np.append(z, np.zeros(STRONGEST)))[::-1][:STRONGEST]
+        return top.tolist()
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centre, scale, weights) of a ridge logistic regression by Newton's
+    steps; the first weight is the intercept."""
+    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([np.ones(len(x)), (x - centre) / scale])
+    ridge = np.diag([1e-6, *np.ones(x.shape[1])])
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (p - y) + ridge @ w)
+        w = w - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return centre, scale, w
+
+
+class _Searcher:
+    """What a Python worker builds from the broadcast examples."""
+
+    def __init__(self, examples: Examples):
+        self.examples = examples
+        self.vectors = [examples.vector(i) for i in range(len(examples))]
+        self.index = BlockMaxIndex(self.vectors, len(examples.vocabulary))
+        self.words = WordScores(examples)
+        self.scored: dict[bytes, tuple[float, list[dict]]] = {}
+
+    def features(self, queries: list[Vector], but: list[int] | None = None) -> Iterator[tuple[list[float], np.ndarray, np.ndarray]]:
+        """([vote, word scores], neighbours, cosines) of each query, the vote
+        NaN without any neighbour; with ``but`` each is an example that leaves
+        itself and its copies out."""
+        y = self.examples.y
+        found = self.index.nearest(queries, NEIGHBOURS, but)
+        for i, ((words, _), (rows, sims)) in enumerate(zip(queries, found, strict=True)):
+            voters = sims < EQUAL if but is not None else np.ones(len(sims), dtype=bool)
+            v = vote(y[rows[voters]], sims[voters]) if voters.any() else float("nan")
+            yield [v, *self.words.strongest(words, None if but is None else y[but[i]])], rows, sims
+
+
+_searchers: dict[str, _Searcher] = {}
+_words: dict[str, WordHash] = {}
+
+
+def _searcher(name: str, shared) -> _Searcher:
+    """The searcher of one fit; a worker keeps the last one."""
+    if name not in _searchers:
+        _searchers.clear()
+        _searchers[name] = _Searcher(shared.value)
+    return _searchers[name]
+
+
+def _worker_words() -> WordHash:
+    return _words.setdefault("", WordHash())
 
 
 class ToxicityModel:
-    """Bounded model: words, idf, the two indexes of the examples, calibration."""
-
-    def __init__(self, terms: list[str], vocabulary: np.ndarray, idf: np.ndarray, unseen: float,
-                 examples: list[tuple[int, int, np.ndarray, np.ndarray]]):
-        self.vocabulary, self.idf, self.unseen = vocabulary, idf, unseen
-        self.term = np.zeros(len(vocabulary), dtype=bool)  # words that are terms
-        self.term[positions(WordHash().array(terms), vocabulary)[1]] = True
-        self.term_number = np.cumsum(self.term) - 1
-        self.term_idf = idf[self.term]
-        with_term = [(*self._unit(*v), d, y) for d, y, h, c in examples if len((v := self._terms(h, c))[0])]
-        # like vectors beside each other, so that a block's maxima say much
-        rows = sorted(with_term, key=lambda r: (r[0].tolist(), r[1].tolist(), r[2], r[3]))
-        self.ids, self.y = [r[2] for r in rows], np.array([r[3] for r in rows], dtype=float)
-        self.index = BlockMaxIndex([(r[0], r[1]) for r in rows], len(self.term_idf))
-        self.all_ids, self.all_y = [e[0] for e in examples], np.array([e[1] for e in examples], dtype=float)
-        whole = [self._whole(h, c) for _, _, h, c in examples]
-        self.whole = WholeIndex(whole, len(vocabulary))
-        none = [i for i, e in enumerate(examples) if not len(self._terms(e[2], e[3])[0])]
-        self.without = (sum(self.all_y[none]) + 0.5) / (len(none) + 5)
-        self.scored: dict[tuple, tuple[float, list[dict]]] = {}
-        self.steps = self._calibrate() if rows else (np.array([0.0]), np.array([self.without]))
-        found = self.whole.nearest([whole[i] for i in none], NEIGHBOURS, none)
-        self.whole_steps = isotonic([vote(self.all_y[r], s) if len(r) else None for r, s in found], self.all_y[none], self.without)
-
-    def _terms(self, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the terms among the words, ascending, and their counts."""
-        here, at = positions(h, self.vocabulary)
-        chosen = self.term[at]
-        return self.term_number[at[chosen]], c[here][chosen]
+    """A broadcast example set and the regression on its votes."""
 
-    def _whole(self, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unit vector over the vocabulary; other words count in its length."""
-        here, at = positions(h, self.vocabulary)
-        tf = 1 + np.log(c)
-        w = tf[here] * self.idf[at]
-        length = np.sqrt((w * w).sum() + ((tf[~here] * self.unseen) ** 2).sum())
-        return at, w / length if len(at) else w
+    def __init__(self, spark: SparkSession, examples: Examples):
+        self.name, self.shared = uuid.uuid4().hex, spark.sparkContext.broadcast(examples)
+        n, toxic = len(examples), float(examples.y.sum())
+        self.rate = (toxic + 0.5) / (n + 5)
+        self.steps = self._calibrate(spark, n, examples.y) if 0 < toxic < n else None
 
-    def _unit(self, t: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(tf)) * self.term_idf[t]
-        return t, w / np.sqrt((w * w).sum())
-
-    def _raw(self, t: np.ndarray, w: np.ndarray, but: int = -1) -> tuple[float | None, np.ndarray, np.ndarray]:
-        rows, sims = self.index.nearest(t, w, NEIGHBOURS, but)
-        return (vote(self.y[rows], sims) if len(rows) else None), rows, sims
-
-    def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
-        """Step edges and levels by the leave-one-out raw scores."""
-        unit: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * self.index.n
-        parts: dict[int, list] = {}
-        for t, (r, w) in enumerate(zip(self.index.row, self.index.weight, strict=True)):
-            for i, x in zip(r.tolist(), w.tolist(), strict=True):
-                parts.setdefault(i, []).append((t, x))
-        for i, p in parts.items():
-            unit[i] = np.array([a for a, _ in p]), np.array([b for _, b in p])
-        known: dict[tuple, float | None] = {}
-        raw = []
-        for i, (t, w) in enumerate(unit):
-            # equal vectors with equal labels have equal neighbours when they leave themselves out
-            key = (t.tobytes(), w.tobytes(), self.y[i])
-            if key not in known:
-                known[key] = self._raw(t, w, but=i)[0]
-            raw.append(known[key])
-        return isotonic(raw, self.y, self.without)
+    def __getstate__(self) -> dict:
+        return {"name": self.name, "shared": self.shared, "rate": self.rate, "steps": self.steps}
 
-    def scores(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
-        """Score and evidence of each text."""
-        out: list[tuple[float, list[dict]]] = []
-        later: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
-        for text in texts:
-            h, c = word_counts(text, known)
-            terms, tf = self._terms(h, c)
-            if len(terms):
-                out.append(self._by_terms(terms, tf))
-                continue
-            v = self._whole(h, c)
-            if len(v[0]):
-                later.append((len(out), v))
-            out.append((self.without, []))
-        for (i, _), (rows, sims) in zip(later, self.whole.nearest([v for _, v in later], NEIGHBOURS), strict=True):
-            if len(rows):
-                out[i] = self._by_words(rows, sims)
-        return out
+    def _calibrate(self, spark: SparkSession, n: int, y: np.ndarray):
+        name, shared = self.name, self.shared
 
-    def _by_terms(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[dict]]:
-        """By the terms; equal vectors are looked up."""
-        key = terms.tobytes(), tf.tobytes()
-        out = self.scored.get(key)
-        if out is None:
-            if len(self.scored) >= 20_000:
-                self.scored.clear()
-            out = self.scored[key] = self._score(terms, tf)
-        return out
+        def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            s = _searcher(name, shared)
+            for b in it:
+                own = b["id"].tolist()
+                yield pd.DataFrame({"id": own, "x": [x for x, _, _ in s.features([s.vectors[i] for i in own], own)]})
 
-    def _score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[dict]]:
-        raw, rows, sims = self._raw(*self._unit(terms, tf))
-        if raw is None:
-            return self.without, []
-        return calibrated(raw, self.steps), [
-            {"doc_id": int(self.ids[r]), "label": int(self.y[r]), "similarity": round(float(s), 6)}
-            for r, s in zip(rows[:EVIDENCE], sims[:EVIDENCE], strict=True)]
+        parts = max(1, min(n // 200, 2 * spark.sparkContext.defaultParallelism))
+        rows = spark.range(0, n, 1, parts).mapInPandas(run, "id long, x array<double>").collect()  # one row an example
+        x = np.empty((n, 1 + STRONGEST))
+        for r in rows:
+            x[r["id"]] = r["x"]
+        voted = ~np.isnan(x[:, 0])
+        return logistic(x[voted], y[voted]) if voted.any() else None
 
-    def _by_words(self, rows: np.ndarray, sims: np.ndarray) -> tuple[float, list[dict]]:
-        y = self.all_y[rows]
-        same = sims >= EQUAL
-        score = float((y[same].sum() + 0.1) / (same.sum() + 0.2)) if same.any() else calibrated(vote(y, sims), self.whole_steps)
-        toxic = np.flatnonzero(y)[:EVIDENCE]
-        return score, [{"doc_id": int(self.all_ids[rows[k]]), "label": 1, "similarity": round(float(sims[k]), 6)} for k in toxic]
+    def scores(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of each text."""
+        if self.steps is None:
+            return [(self.rate, [])] * len(texts)
+        s = _searcher(self.name, self.shared)
+        centre, scale, w = self.steps
+        e = s.examples
+        queries = [e.query(*word_counts(t, known)) for t in texts]
+        keys = [xxhash.xxh3_128_digest(w.tobytes() + x.tobytes()) for w, x in queries]
+        # copies of a text, in this batch or an earlier one, are scored once
+        new = {key: q for key, q in zip(keys, queries, strict=True) if key not in s.scored}
+        if len(s.scored) > MAX_SCORED:
+            s.scored.clear()
+            new = dict(zip(keys, queries, strict=True))
+        for key, (x, rows, sims) in zip(new, s.features(list(new.values())), strict=True):
+            same = sims >= EQUAL
+            if not len(rows):
+                score = self.rate
+            elif same.any():
+                score = float((e.y[rows[same]].sum() + 0.1) / (same.sum() + 0.2))
+            else:
+                score = float(1 / (1 + np.exp(-np.clip(w[0] + ((np.array(x) - centre) / scale) @ w[1:], -30, 30))))
+            toxic = np.flatnonzero(e.y[rows])[:EVIDENCE]
+            s.scored[key] = (score, [{"doc_id": int(e.doc_id[rows[k]]), "label": 1, "similarity": round(float(sims[k]), 6)} for k in toxic])
+        return [s.scored[key] for key in keys]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     sample = materialize(training_sample(labels, "toxic", ~held_out(), MAX_EXAMPLES), "toxic-sample")
     picked = F.broadcast(sample)  # at most about MAX_EXAMPLES rows
-    examples = materialize(docs.select("doc_id", "text").join(picked, "doc_id"), "toxic-examples")
-    terms = choose_terms(examples)
-    rows = example_words(examples)
-    vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *(r[2] for r in rows)]))
-    n, df = document_frequencies(docs, vocabulary)
-    return ToxicityModel(terms, vocabulary, np.log((1 + n) / (1 + df)) + 1, float(np.log(1 + n) + 1), rows)
+    examples = read_examples(materialize(docs.select("doc_id", "text").join(picked, "doc_id"), "toxic-examples"))
+    if len(examples):
+        examples.weigh(*document_frequencies(docs, examples.vocabulary))
+    return ToxicityModel(docs.sparkSession, examples)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -419,9 +481,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
         for texts in batches:
-            out = model.scores(texts, known)
+            out = model.scores(texts, _worker_words())
             yield pd.DataFrame({"score": [x[0] for x in out], "evidence": [x[1] for x in out]})
 
     scorer = F.pandas_udf(run, "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>")
@@ -434,8 +495,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = WordHash()
         for texts in batches:
-            yield pd.Series([x[0] for x in model.scores(texts, known)], dtype=float)
+            yield pd.Series([x[0] for x in model.scores(texts, _worker_words())], dtype=float)
 
     return docs.where(F.pandas_udf(run, "double")(docs["text"]) < CUT)

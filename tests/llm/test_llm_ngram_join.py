@@ -1,11 +1,13 @@
+import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from edge_data import SCHEMA, corpus, edge_rows, frame
 from kestrel.llm import ngram_join as j
-from kestrel.llm.components import connected_components
+from kestrel.llm.components import connected_components, join_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -63,7 +65,8 @@ def test_one_document_of_each_class_stays(spark):
     kept = [r.doc_id for r in got.collect()]
     no_words = [r for r in edge_rows() if not WORD.search(r[1] or "")]
     named = {c for (d, c), r in zip([(x[0], x[1]) for x in brute(edge_rows())], edge_rows()) if WORD.search(r[1] or "")}
-    assert len(kept) == len(named) + len(no_words)
+    # 108 names two classes: unlike texts under one doc_id
+    assert len(kept) == len(named) + 1 + len(no_words)
     assert {k for k in kept if k is not None} >= {c for _, c in want if c is not None}
 
 
@@ -89,3 +92,19 @@ def test_links_between_two_blocks_just_below_the_threshold():
     b = np.sort(np.concatenate([common, b_only]))
     assert [f.tolist() for _, f in j._links([a], [b], False, 0.8)] == [[]]
     assert [f.tolist() for _, f in j._links([a], [b], False, 0.79)] == [[0]]
+
+
+def test_unlike_texts_under_one_doc_id_both_stay(spark):
+    r = random.Random(8)
+    texts = [" ".join(f"{x}{r.randrange(10**6)}" for _ in range(40)) for x in "abc"]
+    rest = edge_rows()[0][2:]
+    rows = [(5, texts[0], *rest), (5, texts[1], *rest), (6, texts[2], *rest), (7, texts[2], *rest), (None, texts[1], *rest)]
+    got = j.keep_one_of_each(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, texts[0]), (5, texts[1]), (6, texts[2])])
+
+
+def test_large_groups_are_joined_apart(spark):
+    rows = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 0 ELSE id END AS root", "id AS node")
+    groups = rows.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.max("node").alias("most"))
+    got = join_groups(rows, groups, "root").collect()
+    assert sorted((r.node, r.most) for r in got) == [(i, 3999 if i < 4000 else i) for i in range(5000)]

@@ -56,11 +56,13 @@ STRONGEST = 3
 EVIDENCE = 3
 CUT = 0.5
 #: words kept as dense columns of the blocks; the others are postings
-MAX_DENSE = 512
+MAX_DENSE = 256
 #: groups that examples are ordered by
 CLUSTERS = 32
 #: texts searched at once, blocks visited in a query's first turn, growth of the later turns, words counted on at once
 BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 32, 4, 8, 65_536
+#: multiplications up to which a matrix product stays on one thread
+ONE_THREAD = 1 << 17
 #: scores that a worker remembers by vector
 MAX_SCORED = 20_000
 #: cosines from here on are those of equal vectors
@@ -200,6 +202,16 @@ def like_order(dense: np.ndarray) -> np.ndarray:
     return np.lexsort((np.arange(len(unit)), -close[np.arange(len(unit)), near], near))
 
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b.T`` in slices that are too small for the matrix library to wake
+    further threads, which a task has no cores for."""
+    width = max(1, ONE_THREAD // max(1, len(a) * len(b)))
+    out = a[:, :width] @ b[:, :width].T
+    for at in range(width, a.shape[1], width):
+        out += a[:, at:at + width] @ b[:, at:at + width].T
+    return out
+
+
 class BlockMaxIndex:
     """Unit vectors (words, weights) as blocks of rows, dense columns and
     postings, with each word's largest weight in each block."""
@@ -233,7 +245,7 @@ class BlockMaxIndex:
         self.segment_block = block[first]
         self.segment_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.segments_of = np.searchsorted(word[first], np.arange(n_words + 1))
-        self.visited = self.opened = self.searched = 0
+        self.visited = self.searched = 0
 
     def nearest(self, queries: list[Vector], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, cosines) of the k nearest of each query with a cosine above
@@ -258,8 +270,7 @@ class BlockMaxIndex:
         seg = np.repeat(self.segments_of[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
         seg_weight, cell = np.repeat(weight, size), np.repeat(who * blocks, size) + self.segment_block[seg]
         rare = np.bincount(cell, seg_weight * self.segment_max[seg], m * blocks).reshape(m, blocks)
-        # in products small enough to stay on one thread
-        bound = rare + np.concatenate([q @ self.dense_max[b:b + BATCH].T for b in range(0, blocks, BATCH)], axis=1)
+        bound = rare + np.concatenate([product(q, self.dense_max[b:b + BLOCK]) for b in range(0, blocks, BLOCK)], axis=1)
         order = np.argsort(-bound, axis=1, kind="stable")
         bound = np.take_along_axis(bound, order, axis=1)
         who, rows, sims = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
@@ -269,15 +280,18 @@ class BlockMaxIndex:
             go = bound[:, done:done + turn] >= least[:, None] - 1e-9
             if not go.any():
                 break
-            visited = order[:, done:done + turn]
-            new = self._visit(q, visited, go, rare, least, seg, seg_weight, cell)
+            pair, block = np.nonzero(go)
+            block = order[pair, done + block]
+            new = self._visit(q, pair, block, seg, seg_weight, cell)
             # only rows that can still be among the k nearest go on
-            i, at = np.nonzero(new >= least[:, None] - 1e-8)
-            r = self.number[visited[i, at // BLOCK] * BLOCK + at % BLOCK]
+            i, at = np.nonzero(new[2] >= least[new[0]][:, None] - 1e-8)
+            new_sims = new[2][i, at]
+            r = self.number[new[1][i] * BLOCK + at]
+            i = new[0][i]
             if left is not None:
                 other = r != left[i]
-                i, at, r = i[other], at[other], r[other]
-            who, rows, sims = np.concatenate([who, i]), np.concatenate([rows, r]), np.concatenate([sims, new[i, at]])
+                i, new_sims, r = i[other], new_sims[other], r[other]
+            who, rows, sims = np.concatenate([who, i]), np.concatenate([rows, r]), np.concatenate([sims, new_sims])
             by = np.lexsort((rows, -np.round(sims, 9), who))
             who, rows, sims = who[by], rows[by], sims[by]
             rank = np.arange(len(who)) - np.searchsorted(who, who)
@@ -290,37 +304,27 @@ class BlockMaxIndex:
         some = sims > 1e-12
         return [(rows[a:z][some[a:z]], sims[a:z][some[a:z]]) for a, z in zip(edges[:-1], edges[1:], strict=True)]
 
-    def _visit(self, q: np.ndarray, blocks: np.ndarray, go: np.ndarray, rare: np.ndarray, least: np.ndarray, seg: np.ndarray,
-               seg_weight: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        """Cosines of each query with the rows of its blocks, queries x (blocks
-        x BLOCK); 0 where it does not go, and where a block's best dense part
-        and the bound of its postings stay below the query's k-th best."""
-        m, turn = blocks.shape
-        out = np.zeros((m, turn, BLOCK))
-        who, nth = np.nonzero(go)
-        block = blocks[who, nth]
-        self.visited += len(who)
+    def _visit(self, q: np.ndarray, who: np.ndarray, block: np.ndarray, seg: np.ndarray, seg_weight: np.ndarray,
+               cell: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, block, cosines with the block's rows) of pairs of a query
+        and a block, by block."""
         by = np.argsort(block, kind="stable")
-        edges = np.flatnonzero(np.diff(block[by], prepend=-1, append=-1))
-        can = np.empty(len(who), dtype=bool)
-        for a, z in zip(edges[:-1], edges[1:], strict=True):
-            at = by[a:z]
-            i, b = who[at], block[at[0]]
-            part = q[i] @ self.dense[b].T
-            enough = part.max(axis=1) + rare[i, b] >= least[i] - 1e-9
-            can[at] = enough
-            out[i[enough], nth[at[enough]]] = part[enough]
-        who, nth, block = who[can], nth[can], block[can]
-        slot = np.full(m * self.n_blocks, -1, dtype=np.int64)
-        slot[who * self.n_blocks + block] = who * turn + nth
+        who, block = who[by], block[by]
+        self.visited += len(who)
+        cosines = np.empty((len(who), BLOCK))
+        edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+        for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            cosines[a:z] = product(q[who[a:z]], self.dense[block[a]])
+        slot = np.full(len(q) * self.n_blocks, -1, dtype=np.int64)
+        slot[who * self.n_blocks + block] = np.arange(len(who))
         slot = slot[cell]
         here = np.flatnonzero(slot >= 0)
         seg, seg_weight, slot = seg[here], seg_weight[here], slot[here]
-        self.opened += len(who)
         size = self.segment[seg + 1] - self.segment[seg]
         p = np.repeat(self.segment[seg] - np.cumsum(size) + size, size) + np.arange(size.sum())
         place = np.repeat(slot * BLOCK, size) + self.inside[p]
-        return (out.ravel() + np.bincount(place, np.repeat(seg_weight, size) * self.weight[p], out.size)).reshape(m, turn * BLOCK)
+        cosines += np.bincount(place, np.repeat(seg_weight, size) * self.weight[p], cosines.size).reshape(cosines.shape)
+        return who, block, cosines
 
 
 def vote(y: np.ndarray, sims: np.ndarray) -> float:

@@ -90,3 +90,38 @@ def test_near_report_uses_every_offset_and_lists_every_document(spark):
     got = _sorted(d.near_report(spark.createDataFrame(rows, SCHEMA), bench(spark, its)).collect())
     one, none = hashlib.sha256(b"1").hexdigest(), hashlib.sha256(b"").hexdigest()
     assert got == _sorted([(0, 0, none), (1, 1, one), (2, 0, none), (3, 0, none), (1, 0, none)])
+
+
+def near_brute(docs, items, n_terms=3, slop=5):
+    """Items by document, from the rule: the rarest terms' starts within one stretch."""
+    counts = {}
+    for _, text, *_ in docs:
+        for w in words(text):
+            counts[w] = counts.get(w, 0) + 1
+    out = []
+    for doc_id, text, *_ in docs:
+        w, found = words(text), set()
+        for item, t, *_ in items:
+            offsets = {}
+            for off, term in enumerate(words(t)):
+                offsets.setdefault(term, set()).add(off)
+            rare = sorted((counts[x], x) for x in offsets if x in counts)[:n_terms]
+            if not offsets or len(rare) < min(len(offsets), n_terms):
+                continue
+            starts = [(p - off, x) for _, x in rare for p, y in enumerate(w) if y == x for off in offsets[x]]
+            if any({x for s, x in starts if low <= s <= low + slop} == {x for _, x in rare} for low, _ in starts) and item is not None:
+                found.add(str(item))
+        names = ",".join(sorted(found))
+        out.append((doc_id, len(found), hashlib.sha256(names.encode()).hexdigest()))
+    return out
+
+
+def test_near_report_against_brute_force(spark):
+    r = random.Random(11)
+    vocab = [f"t{i}" for i in range(25)]
+    docs = [(i, " ".join(r.choice(vocab) for _ in range(r.choice((0, 1, 5, 40, 300)))), *edge_rows()[0][2:]) for i in range(25)]
+    docs += [docs[3], (3, "another text t1 t2 t3", *docs[0][2:]), (None, "t1 t2 t3 t4", *docs[0][2:]), (99, None, *docs[0][2:])]
+    # one row an item: rows of one item_id are one item
+    its = [(i, " ".join(r.choice(vocab) for _ in range(r.choice((1, 2, 3, 8, 20)))), "t", 0) for i in range(15)] + [(50, None, "t", 0), (51, "absent t1", "t", 0)]
+    got = d.near_report(spark.createDataFrame(docs, SCHEMA), bench(spark, its)).collect()
+    assert _sorted(got) == _sorted(near_brute(docs, its))

@@ -105,7 +105,7 @@ rk AS (SELECT *,
   FROM cmp0),
 en AS (SELECT *, {_map_sql("model_key", lb.INTERPRETABILITY, lb.UNCLASSIFIED)} AS interpretability,
   {_map_sql("model_key", lb.FAMILY, lb.OTHER_FAMILY)} AS model_family,
-  CASE WHEN fit_time_mean <= quantile_cont(fit_time_mean, 0.5) OVER () THEN '{lb.FASTER}' ELSE '{lb.SLOWER}' END AS speed_bucket,
+  '{lb.NO_DATA}' AS speed_bucket,
   test_precision_mean - test_recall_mean AS precision_recall_gap
   FROM rk),
 cmp AS (SELECT *, rank <= 3 AS selected_for_sprint4,
@@ -181,14 +181,9 @@ def k4_review_table(spark, sf):
     return _round_doubles(cl.select_existing(comparison(spark, sf), _REVIEW))
 
 
-@register("k6_tradeoff_points", _sql("SELECT model_key, round(fit_time_mean, 6) AS fit_time_mean, "
-                                     "round(test_f1_mean, 6) AS test_f1_mean FROM cmp"))
-def k6_tradeoff_points(spark, sf):
-    return _round_doubles(comparison(spark, sf).select("model_key", "fit_time_mean", "test_f1_mean"))
-
-
 # ---------------------------------------------------------------- K5, J3, U2
-_LOG_NO_TS = [c for c in lb.LOG_COLUMNS if c != "log_timestamp"]
+# the closed-form scores have no times
+_LOG_NO_TS = [c for c in lb.LOG_COLUMNS if c not in ("log_timestamp", "fit_time_mean", "score_time_mean")]
 _LOG_DOUBLES = [c for c in _LOG_NO_TS if c.endswith("_mean") or c.startswith("oof_")]
 _MANIFEST_SQL = f"""manifest AS (
 SELECT m.model_key, m.estimator, 'models/baseline_' || m.model_key AS artifact_path, 'IsBadBuy' AS target_col,

@@ -171,12 +171,10 @@ def v9_classification_report(spark, sf):
 
 # ---------------------------------------------------------------- V1, V10, V11
 _FOLD_SQL = f"""fold_res AS (
-SELECT t.model_key, t.fold, t.test_accuracy, t.test_precision, t.test_recall, t.test_f1, r.test_roc_auc,
-       tm.fit_time, tm.score_time
+SELECT t.model_key, t.fold, t.test_accuracy, t.test_precision, t.test_recall, t.test_f1, r.test_roc_auc
 FROM (SELECT model_key, fold, {_thr_metrics_sql("test_").replace("round(", "(").replace(", 6)", ")")}
       FROM ({_conf_sql("model_key, fold", "test")}) c) t
-JOIN ({_rank_metrics_sql("model_key, fold", "test", "test_")}) r ON t.model_key = r.model_key AND t.fold = r.fold
-JOIN times tm ON t.model_key = tm.model_key AND t.fold = tm.fold)"""
+JOIN ({_rank_metrics_sql("model_key, fold", "test", "test_")}) r ON t.model_key = r.model_key AND t.fold = r.fold)"""
 
 _TRAIN_FOLD_SQL = f"""train_res AS (
 SELECT t.model_key, t.fold, t.train_accuracy, t.train_precision, t.train_recall, t.train_f1, r.train_roc_auc
@@ -188,30 +186,26 @@ JOIN ({_rank_metrics_sql("model_key, fold", "train", "train_")}) r ON t.model_ke
 def fold_results(spark, sf, split: str = "test", sc=None):
     sc = sc if sc is not None else sv.scores(spark, sf)
     part = sc.where(F.col("split") == split)
-    res = mt.fold_metrics(part, ["model_key", "fold"], prefix=f"{split}_")
-    if split == "test":
-        res = res.join(sv.fold_times(sc), ["model_key", "fold"])
-    return res
+    return mt.fold_metrics(part, ["model_key", "fold"], prefix=f"{split}_")
 
 
 @register("v1_cv_fold_results", _with_scores(
     "SELECT model_key, fold, " + ", ".join(f"round({c}, 6) AS {c}" for c in (
-        "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc", "fit_time", "score_time"))
+        "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc"))
     + " FROM fold_res", _FOLD_SQL))
 def v1_cv_fold_results(spark, sf):
     res = fold_results(spark, sf, sc=score_table(spark, sf))
     return res.select("model_key", "fold", *[_r(c) for c in (
-        "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc", "fit_time", "score_time")])
+        "test_accuracy", "test_precision", "test_recall", "test_f1", "test_roc_auc")])
 
 
-_SUMMARY_COLS = [f"test_{m}_{s}" for m in mt.METRICS for s in ("mean", "std")] + ["fit_time_mean", "score_time_mean"]
+_SUMMARY_COLS = [f"test_{m}_{s}" for m in mt.METRICS for s in ("mean", "std")]
 
 
 def _summary_sql() -> str:
     aggs = []
     for m in mt.METRICS:
         aggs += [f"avg(test_{m}) AS test_{m}_mean", f"stddev_pop(test_{m}) AS test_{m}_std"]
-    aggs += ["avg(fit_time) AS fit_time_mean", "avg(score_time) AS score_time_mean"]
     return f"""cv_sum AS (SELECT model_key, 'f1' AS primary_metric, CAST(count(*) AS INTEGER) AS cv_folds, {", ".join(aggs)}
 FROM fold_res GROUP BY model_key)"""
 

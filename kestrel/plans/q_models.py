@@ -8,6 +8,7 @@ and have brute-force oracle SQL.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalar import now_iso
@@ -39,7 +40,7 @@ def _cv(spark, sf, **options):
     a = _auction_xy(spark, sf)
     n = a.count()
     models = {k: v for k, v in tr.model_registry(n_train=n).items() if k in CV_MODELS}
-    # a fold's models are fitted on concurrent driver threads
+    # the folds run on concurrent driver threads
     return tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models=models, k=5, parallelism=8, **options)
 
 
@@ -77,7 +78,7 @@ _KEYS = ", ".join(f"('{k}')" for k in CV_MODELS)
 
 
 @register("v1_v2_fitted_score_invariants", f"""
-SELECT model_key, count(*) AS test_rows, count(DISTINCT row_id) AS test_ids, sum(y) AS test_bad, 4 * count(*) AS train_rows,
+SELECT model_key, count(*) AS test_rows, count(DISTINCT row_id) AS test_ids, sum(y)::BIGINT AS test_bad, 4 * count(*) AS train_rows,
        count(DISTINCT row_id) AS train_ids, 5::BIGINT AS folds, true AS four_times_in_train, true AS never_both,
        true AS in_range, true AS pred_follows_score, CASE model_key WHEN 'svm' THEN 'decision_function' ELSE 'predict_proba' END AS score_method
 FROM {_ORDERS}, (VALUES {_KEYS}) m(model_key) GROUP BY model_key""")
@@ -103,6 +104,28 @@ def v1_v2_fitted_score_invariants(spark, sf):
     return rows.join(by_score, "model_key").withColumn("score_method", method[F.col("model_key")])
 
 
+# ---------------------------------------------------------------- K6, K2, A8 on measured times
+@register("k6_tradeoff_points", """
+SELECT model_key, 3::INTEGER AS cv_folds, true AS fit_time_measured, true AS score_time_measured, true AS f1_in_range,
+       true AS bucket_follows_median, 3::BIGINT AS points
+FROM (VALUES ('lr'), ('dt'), ('nb')) m(model_key)""")
+def k6_tradeoff_points(spark, sf):
+    """Time against F1 of models fitted here: what any measured points must
+    satisfy, and the speed bucket that follows from them."""
+    a = _auction_xy(spark, sf)
+    models = tr.model_registry(n_train=a.count(), include_optional=True, tree_depth=5)
+    scores, times, _ = tr.cross_validate(a, "IsBadBuy", "row_id", NUM, CAT, models={k: models[k] for k in ("lr", "dt", "nb")}, k=3)
+    folds = mt.fold_metrics(scores, ["model_key", "fold"], "test_").join(times, ["model_key", "fold"])
+    cv = lb.enrich(materialize(mt.cv_summary(folds), "cv-summary"))
+    points = cv.select("model_key", "cv_folds", "fit_time_mean", "score_time_mean", "test_f1_mean", "speed_bucket")
+    median = F.percentile("fit_time_mean", 0.5).over(Window.partitionBy())  # one row a model
+    faster = F.col("speed_bucket") == lb.FASTER
+    return points.select("model_key", "cv_folds", (F.col("fit_time_mean") > 0).alias("fit_time_measured"),
+                         (F.col("score_time_mean") > 0).alias("score_time_measured"), F.col("test_f1_mean").between(0, 1).alias("f1_in_range"),
+                         (faster == (F.col("fit_time_mean") <= median)).alias("bucket_follows_median"),
+                         F.count(F.lit(1)).over(Window.partitionBy()).alias("points"))
+
+
 # ---------------------------------------------------------------- M7, M8, M9, M10, S5
 def _fit_on_split(spark, sf):
     a = sp.stratified_split(_auction_xy(spark, sf), "IsBadBuy", "row_id", 0.2)

@@ -4,8 +4,8 @@ Five models' closed-form scores from auction columns, in hundredths so that
 ties occur: ``model_key, row_id, fold, y, score, pred, split``. Test rows are
 the out-of-fold score of every row; train rows repeat each row for the four
 folds whose training part holds it (score + 0.03), for the train/test gap.
-Fit and score times per fold are a cost proxy proportional to the rows
-handled (per-model seconds per 100,000 rows).
+The table has no times: those come from models that are fitted
+(``training.cross_validate``).
 """
 
 from __future__ import annotations
@@ -18,10 +18,8 @@ from kestrel.plans.q_sampling import FOLDS
 from kestrel.sources import proxies
 
 MODEL_KEYS = ("lr", "dt", "rf", "knn", "svm")
-# Decision threshold (in hundredths) and cost proxy per model.
+# Decision threshold (in hundredths).
 THRESHOLD = {"lr": 50, "dt": 50, "rf": 50, "knn": 50, "svm": 0}
-FIT_COST = {"lr": 10.0, "dt": 11.5, "rf": 63.0, "knn": 1.3, "svm": 18.2}
-SCORE_COST = {"lr": 0.38, "dt": 0.37, "rf": 1.16, "knn": 234.5, "svm": 7.0}
 SCORE_METHOD = {"lr": "predict_proba", "dt": "predict_proba", "rf": "predict_proba",
                 "knn": "predict_proba", "svm": "decision_function"}
 N_FOLDS = 5
@@ -57,16 +55,6 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return test.unionByName(train)
 
 
-def fold_times(sc: DataFrame) -> DataFrame:
-    """``model_key, fold, fit_time, score_time`` (cost proxy)."""
-    fit = F.create_map(*[F.lit(x) for kv in FIT_COST.items() for x in kv])
-    scr = F.create_map(*[F.lit(x) for kv in SCORE_COST.items() for x in kv])
-    c = sc.groupBy("model_key", "fold").agg(F.count_if(F.col("split") == "train").alias("_ntr"),
-                                            F.count_if(F.col("split") == "test").alias("_nte"))
-    return c.select("model_key", "fold", (F.col("_ntr") * fit[F.col("model_key")] / 100000.0).alias("fit_time"),
-                    (F.col("_nte") * scr[F.col("model_key")] / 100000.0).alias("score_time"))
-
-
 def _sql_scores() -> str:
     parts = []
     for k in MODEL_KEYS:
@@ -89,12 +77,7 @@ scores AS (
          CAST(s2 >= thr AS INTEGER) AS pred, 'train' AS split
   FROM (SELECT *, CASE WHEN model_key = 'svm' THEN s + 3 ELSE least(s + 3, 100) END AS s2 FROM sc) t,
        range(1, {N_FOLDS + 1}) r(k)
-  WHERE k <> fold),
-times AS (
-  SELECT model_key, fold,
-         count(*) FILTER (WHERE split = 'train') * (CASE model_key {" ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in FIT_COST.items())} END) / 100000.0::DOUBLE AS fit_time,
-         count(*) FILTER (WHERE split = 'test') * (CASE model_key {" ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in SCORE_COST.items())} END) / 100000.0::DOUBLE AS score_time
-  FROM scores GROUP BY model_key, fold)"""
+  WHERE k <> fold)"""
 
 
 SCORES_SQL = _sql_scores()

@@ -186,9 +186,10 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
     return int(n[-1]), n[:-1]
 
 
-def like_order(dense: np.ndarray) -> np.ndarray:
-    """Order of the rows that puts like ones beside each other: clusters by two
-    turns of k-means on directions, within one by closeness to its centre."""
+def like_order(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, centres): an order of the rows that puts like ones beside each
+    other: clusters by two turns of k-means on directions, within one by
+    closeness to its centre."""
     length = np.sqrt((dense * dense).sum(axis=1))
     unit = dense / np.where(length > 0, length, 1)[:, None]
     centres = unit[np.linspace(0, len(unit) - 1, min(CLUSTERS, len(unit))).astype(int)]
@@ -199,7 +200,7 @@ def like_order(dense: np.ndarray) -> np.ndarray:
         centres = np.where(size[:, None] > 0, sums / np.where(size > 0, size, 1)[:, None], centres)
     close = unit @ centres.T
     near = close.argmax(axis=1)
-    return np.lexsort((np.arange(len(unit)), -close[np.arange(len(unit)), near], near))
+    return np.lexsort((np.arange(len(unit)), -close[np.arange(len(unit)), near], near)), centres
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,7 +228,8 @@ class BlockMaxIndex:
         dense = np.zeros((self.n_blocks * BLOCK, max(1, len(frequent))))
         often = self.column[word] >= 0
         dense[row[often], self.column[word[often]]] = weight[often]
-        order = like_order(dense[:self.n]) if self.n else np.empty(0, dtype=np.int64)
+        order, centres = like_order(dense[:self.n]) if self.n else (np.empty(0, dtype=np.int64), np.zeros((1, dense.shape[1])))
+        self.centres = np.ascontiguousarray(centres.T)
         self.number = np.full(self.n_blocks * BLOCK, -1, dtype=np.int64)  # place -> row
         self.number[:self.n] = order
         place = np.empty(self.n, dtype=np.int64)
@@ -238,11 +240,11 @@ class BlockMaxIndex:
         word, weight, at = word[~often], weight[~often], place[row[~often]]
         by = np.lexsort((at, word))
         word, self.weight, at = word[by], weight[by], at[by]
-        self.inside = (at % BLOCK).astype(np.int64)
+        self.inside = (at % BLOCK).astype(np.uint8)
         block = at // BLOCK
         first = np.flatnonzero(np.diff(word * self.n_blocks + block, prepend=-1))
-        self.segment = np.append(first, len(word))  # postings of one word in one block
-        self.segment_block = block[first]
+        self.segment = np.append(first, len(word)).astype(np.int32)  # postings of one word in one block
+        self.segment_block = block[first].astype(np.int32)
         self.segment_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.segments_of = np.searchsorted(word[first], np.arange(n_words + 1))
         self.visited = self.searched = 0
@@ -250,11 +252,22 @@ class BlockMaxIndex:
     def nearest(self, queries: list[Vector], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, cosines) of the k nearest of each query with a cosine above
         0, by falling cosine, then row; without row ``but[i]`` for query i."""
-        out = []
-        for a in range(0, len(queries), BATCH):
-            out += self._some(queries[a:a + BATCH], k, None if but is None else but[a:a + BATCH])
+        # like queries visit the same blocks: they are searched together
+        by = np.argsort([self._cluster(q) for q in queries], kind="stable").tolist()
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        for a in range(0, len(by), BATCH):
+            some = by[a:a + BATCH]
+            found = self._some([queries[i] for i in some], k, None if but is None else [but[i] for i in some])
+            for i, f in zip(some, found, strict=True):
+                out[i] = f
         return out
 
+    def _cluster(self, query: Vector) -> int:
+        """The nearest of the groups that the examples are ordered by."""
+        column = self.column[query[0]]
+        often = column >= 0
+        return int((query[1][often] @ self.centres[column[often]]).argmax())
+
     def _some(self, queries: list[Vector], k: int, but: list[int] | None) -> list[tuple[np.ndarray, np.ndarray]]:
         m, blocks = len(queries), self.n_blocks
         word = np.concatenate([t for t, _ in queries])
@@ -321,7 +334,7 @@ class BlockMaxIndex:
         here = np.flatnonzero(slot >= 0)
         seg, seg_weight, slot = seg[here], seg_weight[here], slot[here]
         size = self.segment[seg + 1] - self.segment[seg]
-        p = np.repeat(self.segment[seg] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        p = np.repeat(self.segment[seg] - np.cumsum(size, dtype=np.int32) + size, size) + np.arange(size.sum(), dtype=np.int32)
         place = np.repeat(slot * BLOCK, size) + self.inside[p]
         cosines += np.bincount(place, np.repeat(seg_weight, size) * self.weight[p], cosines.size).reshape(cosines.shape)
         return who, block, cosines

@@ -52,7 +52,7 @@ def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
-def op10_near_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def benchmark_near_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.near_report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
@@ -70,7 +70,7 @@ def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, op10_near_phrases, op11_orchard_codes,
+    op1_robust_outliers, op2_token_orc, op3_boosted_spans, op4_tfidf_neighbours, op5_warc_transactions, op6_minhash_jaccard, op7_feistel_shards, op8_line_crf, op9_prefix_viterbi, op10_benchmark_phrases, benchmark_near_phrases, op11_orchard_codes,
     op12_cyk_repair, op13_vector_packing)}
 
 

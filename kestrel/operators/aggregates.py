@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.quantiles import exact_quantiles
+from kestrel.operators.quantiles import MAX_BROADCAST_GROUPS, exact_quantiles
+from kestrel.storage import broadcast_if_small, materialize
 
 
 # A1
@@ -40,8 +41,10 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) ->
     iqr = F.col("q3") - F.col("q1")
     qw = qw.withColumn("_lo", F.col("q1") - k * iqr).withColumn("_hi", F.col("q3") + k * iqr)
     x = F.col(value).cast("double")
-    # one row per group on the right side; null group keys are dropped, as in
-    # a pandas groupby
+    # one row per group on the right side, sent to the tasks that read the rows
+    # (a shuffle by few group keys fills few tasks); null group keys are dropped,
+    # as in a pandas groupby
+    qw = broadcast_if_small(materialize(qw, "box-quartiles"), MAX_BROADCAST_GROUPS)
     j = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull()).join(qw, by, "inner")
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
     return j.groupBy(*by, "q1", "median", "q3").agg(

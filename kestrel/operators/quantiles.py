@@ -28,7 +28,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.storage import broadcast_if_small, materialize
+
 DEFAULT_ACCURACY = 100000
+#: groups up to which the brackets go to every task
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -94,6 +98,9 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], value_col: str,
     if not [k for k in keys if k != "column_name"]:
         # one row per column name: size bounded by the column list
         renamed = F.broadcast(renamed)
+    else:
+        # one row per group: shuffled by few group keys, the rows would meet in few tasks
+        renamed = broadcast_if_small(materialize(renamed, "quantile-bounds"), MAX_BROADCAST_GROUPS)
     j = long.join(renamed, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]) \
         .drop(*[f"_key{i}" for i in range(len(keys))])
     in_band = F.lit(False)

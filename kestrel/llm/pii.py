@@ -8,10 +8,10 @@ boosted trees score every proposal by its format and context, and thresholds
 calibrated per kind select among them: best score first, no overlap with a
 span already selected.
 
-The trees (``pyspark.ml`` GBTClassifier) learn from a bounded sample of
-documents: proposals found in their texts, labelled by the base rules, and
-personal data and look-alikes planted into them in many written forms. Half of
-the sample sets, per kind, the lowest threshold with ``MIN_PRECISION``.
+The trees (``pyspark.ml`` GBTClassifier) learn from one half of all documents:
+proposals found in their texts, labelled by the base rules, and personal data
+and look-alikes planted into them in many written forms. The other half sets,
+per kind, the lowest threshold with ``MIN_PRECISION``.
 
 Defined cases: null and empty texts have no spans; proposals of the same
 score are taken by start and kind; repeated rows get equal results; an empty
@@ -34,11 +34,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.text import drawn
+from kestrel.llm.text import forget
+from kestrel.operators.ordered import ordered_cumsum
 from kestrel.storage import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TRAIN_DOCS = 2000
 #: strings planted into a training document
 PLANTED = 12
 TREES, DEPTH = 20, 5
@@ -251,42 +251,47 @@ def _nodes(root) -> list[tuple[int, float, int, int, float]]:
 
 
 def fit(docs: DataFrame) -> SpanModel:
-    """Trees and thresholds from about MAX_TRAIN_DOCS documents at most."""
-    n = docs.count()
+    """Trees from one half of all documents, thresholds from the other."""
     h = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(3))
-    sample = docs.where(drawn(F.xxhash64("doc_id", F.lit(5)), n, MAX_TRAIN_DOCS)).select(
-        F.coalesce("text", F.lit("")).alias("text"), F.pmod(h, F.lit(2)).cast("int").alias("part"))
-    if n > MAX_TRAIN_DOCS and sample.isEmpty():
-        raise ValueError(f"no training document drawn from {n}")
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.pmod(h, F.lit(2)).cast("int").alias("part"))
 
     def rows(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for pdf in it:
             found = [(part, *row) for text, part in zip(pdf["text"], pdf["part"], strict=True) for row in training_rows(text)]
             yield pd.DataFrame(found, columns=["part", "kind", "label", "x"])
 
-    cand = materialize(sample.mapInPandas(rows, "part int, kind int, label double, x array<double>").repartition(4, F.xxhash64("x")), "spans")
+    cand = materialize(texts.mapInPandas(rows, "part int, kind int, label double, x array<double>"), "spans")
     train = cand.where("part = 0").select("label", array_to_vector("x").alias("features"))
     if train.select("label").distinct().count() < 2:
         return SpanModel([], [1.0] * len(KINDS))
     gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=32).fit(train)
     trees = [(float(w), _nodes(t._call_java("rootNode"))) for w, t in zip(gbt.treeWeights, gbt.trees, strict=True)]
     model = SpanModel(trees, [1.0] * len(KINDS))
-    held = cand.where("part = 1").select("kind", "label", "x").collect()  # bounded: the other half of the sample
-    if held:
-        prob = model.probability(np.array([r["x"] for r in held]))
-        kind, y = np.array([r["kind"] for r in held]), np.array([r["label"] for r in held])
-        model.thresholds = [_threshold(prob[kind == k], y[kind == k]) for k in range(len(KINDS))]
+
+    def judged(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            if len(pdf):
+                p = model.probability(np.stack(pdf["x"].to_list()))
+                yield pd.DataFrame({"kind": pdf["kind"], "p": p, "label": pdf["label"]})
+
+    held = cand.where("part = 1").select("kind", "label", "x").mapInPandas(judged, "kind int, p double, label double")
+    found = _thresholds(held)
+    if found is not None:
+        model.thresholds = found
     return model
 
 
-def _threshold(prob: np.ndarray, y: np.ndarray) -> float:
-    """Lowest score, MIN_THRESHOLD at least, from which the precision of all
-    higher scores is MIN_PRECISION; above 1 if there is none."""
-    order = np.argsort(-prob, kind="stable")
-    precision = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    last = np.append(prob[order][1:] < prob[order][:-1], True)  # whole ties only
-    ok = np.flatnonzero((precision >= MIN_PRECISION) & last & (prob[order] >= MIN_THRESHOLD))
-    return float(prob[order][ok[-1]]) if len(ok) else 2.0
+def _thresholds(judged: DataFrame) -> list[float] | None:
+    """For each kind the lowest score, MIN_THRESHOLD at least, from which the
+    precision of all higher scores is MIN_PRECISION; above 1 if there is none.
+    ``judged``: kind, p, label. None without any row."""
+    ties = judged.groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good"))  # whole ties only
+    sums = ordered_cumsum(ties, ["kind"], "p", ["n", "good"], descending=True)
+    ok = (F.col("cum_good") / F.col("cum_n") >= MIN_PRECISION) & (F.col("p") >= MIN_THRESHOLD)
+    rows = sums.groupBy("kind").agg(F.min(F.when(ok, F.col("p"))).alias("p")).collect()  # a row a kind
+    by_kind = {r["kind"]: r["p"] for r in rows}
+    return [2.0 if by_kind.get(k) is None else float(by_kind[k]) for k in range(len(KINDS))] if rows else None
 
 
 # ---- application --------------------------------------------------------------
@@ -327,6 +332,7 @@ def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     model = model or fit(docs)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for texts in batches:
             found = model.spans([t or "" for t in texts])
             yield pd.Series([None if t is None else redacted(t, c) if c else t for t, (_, c) in zip(texts, found, strict=True)], dtype=object)

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.text import forget
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _IRREGULAR = re.compile(r"  |^ |▁")
@@ -140,6 +142,7 @@ class Encoder:
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of every document."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         enc = Encoder(model_file)
         for texts in batches:
             ids = [np.frombuffer(x, dtype="<i4") for at in range(0, len(texts), 1000)

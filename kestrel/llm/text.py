@@ -40,6 +40,24 @@ def drawn(h: Column, n: int, limit: int) -> Column:
     return F.shiftrightunsigned(h, 1) < F.lit((limit << 63) // n)
 
 
+#: what this Python worker keeps from one task to the next, by its user
+_kept: dict[str, tuple[str, object]] = {}
+
+
+def keep(user: str, name: str, build: Callable[[], object]) -> object:
+    """``build()`` of ``user``, kept by the worker for the tasks that follow
+    under the same ``name``; what other users had kept goes."""
+    if _kept.get(user, (None,))[0] != name:
+        _kept.clear()
+        _kept[user] = name, build()
+    return _kept[user][1]
+
+
+def forget() -> None:
+    """Another operator's tasks begin: nothing of earlier ones stays in memory."""
+    _kept.clear()
+
+
 def split_words(text: str | None) -> list[str]:
     """Python twin of :func:`plain_words` (ASCII white space only)."""
     if not text:

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.text import WordHash, drawn
+from kestrel.llm.text import WordHash, drawn, keep
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -412,16 +412,13 @@ class _Searcher:
             yield [v, *self.words.strongest(words, None if but is None else y[but[i]])], rows, sims
 
 
-_searchers: dict[str, _Searcher] = {}
 _words: dict[str, WordHash] = {}
 
 
 def _searcher(name: str, shared) -> _Searcher:
-    """The searcher of one fit; a worker keeps the last one."""
-    if name not in _searchers:
-        _searchers.clear()
-        _searchers[name] = _Searcher(shared.value)
-    return _searchers[name]
+    """The searcher of one fit; a worker keeps the last one, until another
+    operator's tasks begin."""
+    return keep("toxicity", name, lambda: _Searcher(shared.value))
 
 
 def _worker_words() -> WordHash:

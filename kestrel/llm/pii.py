@@ -50,31 +50,63 @@ Span = tuple[int, int, int]  # start, kind, end
 _ANY = re.compile(r"[0-9@]|[\[({]at[\])}]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-# possessive runs and the look-behind only spare retries that cannot match
-_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+# possessive runs and the look-behind only spare retries that cannot match; a look-behind stands after the first
+# character, since the library looks for a first character much faster than it tries each place
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-_SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[({]at[\])}] ?[A-Za-z0-9-]++(?: ?(?:[\[({]dot[\])}]|\.) ?[A-Za-z0-9-]++)+")
-_IP6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
-_DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3,5}(?![0-9])")
-_CHAIN = re.compile(r"(?<![0-9])[0-9](?:[ ._-]?[0-9]){11,18}(?![0-9])")
-_NATIONAL = re.compile(r"(?<![0-9])\(?[0-9]{3}\)?[ ./-]{1,2}[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-_PREFIXED = re.compile(r"(?<![0-9])00[1-9][0-9 ().-]{7,16}[0-9](?![0-9])")
+_SPELLED = re.compile(r"[A-Za-z0-9._%+-]++ ?[\[({]at[\])}] ?[A-Za-z0-9-]++(?: ?(?:[\[({]dot[\])}]|\.) ?[A-Za-z0-9-]++)+")
+_AT = re.compile(r"[\[({]at[\])}]")
+_IP6 = re.compile(r"[0-9A-Fa-f](?<![0-9A-Fa-f:][0-9A-Fa-f])[0-9A-Fa-f]{0,3}:(?:[0-9A-Fa-f]{1,4}:){3,6}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+_DOTTED = re.compile(r"[0-9](?<![0-9.][0-9])[0-9]{0,3}(?:\.[0-9]{1,4}){3,5}(?![0-9])")
+_CHAIN = re.compile(r"[0-9](?<![0-9][0-9])(?:[ ._-]?[0-9]){11,18}(?![0-9])")
+_NATIONAL = re.compile(r"[(0-9](?<![0-9][(0-9])(?:(?<=\()[0-9]{3}|(?<=[0-9])[0-9]{2})\)?[ ./-]{1,2}[0-9]{3}[ .-][0-9]{4}(?![0-9])")
+_PREFIXED = re.compile(r"00(?<![0-9]00)[1-9][0-9 ().-]{7,16}[0-9](?![0-9])")
+_OTHERS, _RUN = re.compile(r"[^0-9]+"), re.compile(r"[0-9]+")
 _HINTS = (re.compile(r"mail|contact|write", re.I), re.compile(r"\bip\b|host|server|addr", re.I), re.compile(r"card|visa|credit|pay", re.I),
           re.compile(r"phone|tel|call|mobil|fax", re.I), re.compile(r"order|version|isbn|serial|invoice|part|date|\bid\b|\bno\b|\bv$", re.I))
 
 
+_ONE_OF = tuple(tuple(float(kind == k) for k in range(len(KINDS))) for kind in range(len(KINDS)))
+_DOUBLED = bytes.maketrans(b"0123456789", b"0246813579")
+
+
+def _hints(before: str) -> list[float]:
+    """Which hints are in the words before a span."""
+    if not before.isascii():
+        return [float(bool(h.search(before))) for h in _HINTS]
+    low = before.lower()
+    # for ASCII, plain words are found without the patterns
+    return [float("mail" in low or "contact" in low or "write" in low),
+            float("host" in low or "server" in low or "addr" in low or "ip" in low and bool(_HINTS[1].search(before))),
+            float("card" in low or "visa" in low or "credit" in low or "pay" in low),
+            float("phone" in low or "tel" in low or "call" in low or "mobil" in low or "fax" in low),
+            float("order" in low or "version" in low or "isbn" in low or "serial" in low or "invoice" in low or "part" in low or "date" in low
+                  or ("id" in low or "no" in low or low[-2:].rstrip().endswith("v")) and bool(_HINTS[4].search(before)))]
+
+
 def luhn(digits: str) -> bool:
-    total = 0
-    for i, c in enumerate(reversed(digits)):
-        d = int(c) * (1 + i % 2)
-        total += d - 9 if d > 9 else d
-    return total % 10 == 0
+    d = digits.encode()
+    return (sum(d[::-2]) + sum(d[-2::-2].translate(_DOUBLED)) - 48 * len(d)) % 10 == 0
 
 
 def _only_digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return _OTHERS.sub("", s)
+
+
+def _spelled(text: str) -> Iterator[Span]:
+    """Spelled-out emails: each starts where the run of characters before its
+    at begins."""
+    free = 0  # end of the last match
+    for at in _AT.finditer(text):
+        start = at.start() - (text[max(0, at.start() - 1):at.start()] == " ")
+        while start > 0 and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        m = _SPELLED.match(text, start) if start >= free else None
+        if m:
+            yield m.start(), 0, m.end()
+            free = m.end()
 
 
 def base_spans(text: str) -> list[Span]:
@@ -106,7 +138,8 @@ def base_spans(text: str) -> list[Span]:
 
 def proposals(text: str) -> list[Span]:
     """High-recall, overlapping spans."""
-    found = {(m.start(), k, m.end()) for k, rx in ((0, _SPELLED), (1, _DOTTED), (2, _CHAIN), (3, _NATIONAL), (3, _PREFIXED)) for m in rx.finditer(text)}
+    found = {(m.start(), k, m.end()) for k, rx in ((1, _DOTTED), (2, _CHAIN), (3, _NATIONAL), (3, _PREFIXED)) for m in rx.finditer(text)}
+    found.update(_spelled(text))
     if text.count(":") >= 4:
         found |= {(m.start(), 1, m.end()) for m in _IP6.finditer(text)}
     return sorted(found)
@@ -117,25 +150,25 @@ def features(text: str, span: Span) -> list[float]:
     s, before, after = text[start:end], text[max(0, start - 24):start], text[end:end + 12]
     d = _only_digits(s)
     seps = [c for c in s if not c.isalnum()]
-    groups = re.findall(r"[0-9]+", s)
+    groups = _RUN.findall(s)
     octets = s.split(".")
     near = text[max(0, start - 40):start] + text[end:end + 40]
     return [
-        *(float(kind == k) for k in range(4)), float(len(s)), float(len(d)), len(d) / len(s), float(len(seps)), float(len(set(seps))),
+        *_ONE_OF[kind], float(len(s)), float(len(d)), len(d) / len(s), float(len(seps)), float(len(set(seps))),
         float(s[0] == "+"), float(s[0] == "("), float(s.startswith("00")), float(bool(d) and luhn(d)), float(len(set(d))),
         float(len(groups)), float(max(map(len, groups), default=0)),
         float(len(octets) == 4 and all(o.isascii() and o.isdigit() and len(o) <= 3 and int(o) <= 255 for o in octets)),
         float(any(len(g) > 1 and g[0] == "0" for g in groups)), float("@" in s), float("at" in s), float("dot" in s), float(s.count(":")),
         float(before[-1:].isalnum()), float(before[-1:].isspace() or not before), float(before[-1:] in ".-/_"), float(after[:1].isalnum()),
         float(after[:1] in "-/_" and bool(after)), float(after[:1] == "."),
-        *(float(bool(h.search(before))) for h in _HINTS), sum("0" <= c <= "9" for c in near) / max(1, len(near))]
+        *_hints(before), len(_only_digits(near)) / max(1, len(near))]
 
 
 # ---- training -----------------------------------------------------------------
 
 def _planted(r: random.Random) -> tuple[str, str, int, int]:
     """(words before, string, kind, label) of one planted string."""
-    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    digits = lambda n: "".join(map(r.choice, ["0123456789"] * n))
     word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9)))
     hint = lambda *w: r.choice(w) if r.random() < 0.4 else ""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 import numpy as np
 import xxhash
@@ -83,6 +83,12 @@ class WordHash(dict):
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
+    @staticmethod
+    def fresh(words: Collection[str | bytes]) -> np.ndarray:
+        """Hashes of words (text or its UTF-8) without looking them up: for
+        distinct words of a large vocabulary the lookup costs more."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+
     def array(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 

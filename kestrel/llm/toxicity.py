@@ -4,12 +4,14 @@
    Their texts become unit TF-IDF vectors over all their words; document
    frequencies count all documents.
 2. A block-max inverted index holds the vectors: examples are ordered by
-   likeness and cut into blocks of ``BLOCK``; the most frequent words are
-   dense columns of a block, all others postings by (word, block); every word
-   keeps its largest weight in every block. A query bounds each block's best
-   possible cosine from these maxima, visits blocks from the highest bound
-   down, some at a time, and stops when no block left can reach its k-th best:
-   the ``NEIGHBOURS`` nearest examples are exact.
+   likeness and cut into blocks of ``BLOCK``; the most frequent words of
+   ``GROUP`` blocks, whose lists are long, are dense columns there and keep
+   their largest weight in every block, all others are postings by word. A query sums the postings of its words, bounds
+   each block's best possible cosine by its largest such sum and the columns'
+   maxima, visits blocks from the highest bound down, some at a time, and stops
+   when no block left can reach its k-th best. Rows are selected in single
+   precision with room for its rounding, their cosines computed in double
+   precision: the ``NEIGHBOURS`` nearest examples are exact.
 3. Every text's neighbours vote, weighted by inverse cosine distance. Beside
    the vote stand the ``STRONGEST`` largest word scores of the text: how far
    a word's toxic examples exceed chance (hypergeometric z over distinct
@@ -35,8 +37,10 @@ columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,12 +59,16 @@ NEIGHBOURS = 50
 STRONGEST = 3
 EVIDENCE = 3
 CUT = 0.5
-#: words kept as dense columns of the blocks; the others are postings
-MAX_DENSE = 256
+#: words kept as dense columns of a group of blocks, the others are postings; blocks of a group
+MAX_DENSE, GROUP = 256, 32
 #: groups that examples are ordered by
 CLUSTERS = 32
 #: texts searched at once, blocks visited in a query's first turn, growth of the later turns, words counted on at once
-BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 32, 4, 8, 65_536
+BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 64, 4, 8, 65_536
+#: more than rounding can move a single-precision cosine of MAX_DENSE columns; cosines up to TINY count as 0
+SLACK, TINY = 2e-5, 1e-12
+#: texts whose vectors are held at once
+PIECE = 2048
 #: multiplications up to which a matrix product stays on one thread
 ONE_THREAD = 1 << 17
 #: scores that a worker remembers by vector
@@ -69,6 +77,8 @@ MAX_SCORED = 20_000
 EQUAL = 1 - 1e-9
 
 _WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
+_SINGLE = os.environ.get("OMP_NUM_THREADS") == "1"
 
 Vector = tuple[np.ndarray, np.ndarray]
 
@@ -98,9 +108,28 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def _utf8_words(text: str | None) -> list[bytes] | list[str]:
+    """``words_of``, as UTF-8 where a byte table can split: every character
+    beyond ASCII is a letter."""
+    if not text:
+        return []
+    text = text.lower()
+    if text.isascii() or _WORD.fullmatch("".join([c for c in set(text) if c > "\x7f"])):
+        return text.encode().translate(_LETTERS).split()
+    return _WORD.findall(text)
+
+
+def distinct_words(text: str | None, known: WordHash) -> np.ndarray:
+    """Ascending hashes of the text's distinct words."""
+    return np.sort(known.fresh(set(_utf8_words(text))))
+
+
 def word_counts(text: str | None, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
     """(ascending hashes of the text's distinct words, their counts)."""
-    return np.unique(known.array(words_of(text)), return_counts=True)
+    n = Counter(_utf8_words(text))
+    h = known.fresh(n)
+    by = h.argsort()
+    return h[by], np.fromiter(n.values(), dtype=np.int64, count=len(n))[by]
 
 
 def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +197,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
         n = np.zeros(len(words) + 1, dtype=np.int64)
         for b in batches:
             for t in b["text"]:
-                n[positions(word_counts(t, known)[0], words)[1]] += 1
+                n[positions(distinct_words(t, known), words)[1]] += 1
                 n[-1] += 1
         at = range(0, len(n), CHUNK)
         yield pd.DataFrame({"chunk": [a // CHUNK for a in at], "n": [n[a:a + CHUNK].tobytes() for a in at]})
@@ -204,8 +233,11 @@ def like_order(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``a @ b.T`` in slices that are too small for the matrix library to wake
-    further threads, which a task has no cores for."""
+    """``a @ b.T``; unless the matrix library is held to one thread, as Spark's
+    workers are, in slices too small for it to wake further threads, which a
+    task has no cores for."""
+    if _SINGLE:
+        return a @ b.T
     width = max(1, ONE_THREAD // max(1, len(a) * len(b)))
     out = a[:, :width] @ b[:, :width].T
     for at in range(width, a.shape[1], width):
@@ -214,41 +246,51 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Unit vectors (words, weights) as blocks of rows, dense columns and
-    postings, with each word's largest weight in each block."""
+    """Unit vectors (words, weights) as blocks of rows. ``GROUP`` blocks share
+    dense columns of the words that are most frequent in them, with each
+    column's largest weight in each block; the other words are postings. The
+    dense columns lie there twice: in single precision to bound and to select,
+    in double precision for the cosines."""
 
     def __init__(self, vectors: list[Vector], n_words: int):
         self.n, self.n_blocks = len(vectors), max(1, -(-len(vectors) // BLOCK))
-        word = np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
+        word = np.concatenate([np.empty(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
         weight = np.concatenate([np.empty(0), *(w for _, w in vectors)])
-        row = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
-        frequent = np.argsort(-np.bincount(word, minlength=n_words), kind="stable")[:MAX_DENSE]
-        self.column = np.full(n_words, -1, dtype=np.int32)
-        self.column[frequent] = np.arange(len(frequent))
-        dense = np.zeros((self.n_blocks * BLOCK, max(1, len(frequent))))
-        often = self.column[word] >= 0
-        dense[row[often], self.column[word[often]]] = weight[often]
-        order, centres = like_order(dense[:self.n]) if self.n else (np.empty(0, dtype=np.int64), np.zeros((1, dense.shape[1])))
+        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in vectors])
+        # rows in an order that puts like ones beside each other
+        self.common = self._columns(np.bincount(word, minlength=n_words))
+        dense, often = self._dense(row, self.common[word], weight)
+        order, centres = like_order(dense[:self.n]) if self.n else (np.empty(0, dtype=np.int64), np.zeros((1, MAX_DENSE)))
         self.centres = np.ascontiguousarray(centres.T)
         self.number = np.full(self.n_blocks * BLOCK, -1, dtype=np.int64)  # place -> row
         self.number[:self.n] = order
-        place = np.empty(self.n, dtype=np.int64)
-        place[order] = np.arange(self.n)
-        dense[:self.n] = dense[order]
-        self.dense = dense.reshape(self.n_blocks, BLOCK, -1)
-        self.dense_max = self.dense.max(axis=1)
-        word, weight, at = word[~often], weight[~often], place[row[~often]]
+        self.place = np.empty(self.n, dtype=np.int32)
+        self.place[order] = np.arange(self.n)
+        at = self.place[row]
+        group = at // (BLOCK * GROUP)
+        self.columns = np.stack([self._columns(np.bincount(word[group == g], minlength=n_words)) for g in range(-(-self.n_blocks // GROUP))], axis=1)  # a word's columns lie together
+        self.dense, often = self._dense(at, self.columns[word, group], weight)
+        self.rough = self.dense.astype(np.float32).reshape(self.n_blocks, BLOCK, -1)
+        self.rough_max = self.rough.max(axis=1)
+        word, weight, at = word[~often], weight[~often], at[~often]
         by = np.lexsort((at, word))
-        word, self.weight, at = word[by], weight[by], at[by]
-        self.inside = (at % BLOCK).astype(np.uint8)
-        block = at // BLOCK
-        first = np.flatnonzero(np.diff(word * self.n_blocks + block, prepend=-1))
-        self.segment = np.append(first, len(word)).astype(np.int32)  # postings of one word in one block
-        self.segment_block = block[first].astype(np.int32)
-        self.segment_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
-        self.segments_of = np.searchsorted(word[first], np.arange(n_words + 1))
+        self.weight, self.at = weight[by], at[by]
+        self.postings_of = np.searchsorted(word[by], np.arange(n_words + 1, dtype=np.int32))
         self.visited = self.searched = 0
 
+    @staticmethod
+    def _columns(counts: np.ndarray) -> np.ndarray:
+        """The column of each word, -1 for those without."""
+        out = np.full(len(counts), -1, dtype=np.int16)
+        frequent = np.argsort(-counts, kind="stable")[:MAX_DENSE]
+        out[frequent] = np.arange(len(frequent))
+        return out
+
+    def _dense(self, at: np.ndarray, column: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out, often = np.zeros((self.n_blocks * BLOCK, MAX_DENSE)), column >= 0
+        out[at[often], column[often]] = weight[often]
+        return out, often
+
     def nearest(self, queries: list[Vector], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, cosines) of the k nearest of each query with a cosine above
         0, by falling cosine, then row; without row ``but[i]`` for query i."""
@@ -264,80 +306,76 @@ class BlockMaxIndex:
 
     def _cluster(self, query: Vector) -> int:
         """The nearest of the groups that the examples are ordered by."""
-        column = self.column[query[0]]
+        column = self.common[query[0]]
         often = column >= 0
         return int((query[1][often] @ self.centres[column[often]]).argmax())
 
+    def _rare(self, word: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the words' postings add to the cosine, by place."""
+        first = self.postings_of[word]
+        size = self.postings_of[word + 1] - first
+        p = np.repeat(first - np.cumsum(size) + size, size)
+        p += np.arange(len(p))
+        w = np.repeat(weight, size)
+        w *= self.weight[p]
+        return np.bincount(self.at[p], w, self.n_blocks * BLOCK)
+
     def _some(self, queries: list[Vector], k: int, but: list[int] | None) -> list[tuple[np.ndarray, np.ndarray]]:
         m, blocks = len(queries), self.n_blocks
-        word = np.concatenate([t for t, _ in queries])
-        weight = np.concatenate([w for _, w in queries])
-        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
-        column = self.column[word]
-        often = column >= 0
-        q = np.zeros((m, self.dense.shape[2]))
-        q[who[often], column[often]] = weight[often]
-        # the segments of the queries' other words
-        word, weight, who = word[~often], weight[~often], who[~often]
-        size = self.segments_of[word + 1] - self.segments_of[word]
-        seg = np.repeat(self.segments_of[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        seg_weight, cell = np.repeat(weight, size), np.repeat(who * blocks, size) + self.segment_block[seg]
-        rare = np.bincount(cell, seg_weight * self.segment_max[seg], m * blocks).reshape(m, blocks)
-        bound = rare + np.concatenate([product(q, self.dense_max[b:b + BLOCK]) for b in range(0, blocks, BLOCK)], axis=1)
+        q, rare = np.zeros((self.columns.shape[1], m, MAX_DENSE)), np.empty((m, blocks * BLOCK))
+        for i, (word, weight) in enumerate(queries):
+            column = self.columns[word]
+            j, group = np.nonzero(column >= 0)
+            q[group, i, column[j, group]] = weight[j]
+            rare[i] = self._rare(word, weight)
+        rough_q, rough_rare = q.astype(np.float32), rare.astype(np.float32).reshape(m, blocks, BLOCK)
+        bound = np.concatenate([product(rough_q[g], self.rough_max[g * GROUP:(g + 1) * GROUP]) for g in range(len(q))], axis=1)
+        bound = (bound + rough_rare.max(axis=2)) * (1 + SLACK) + SLACK
         order = np.argsort(-bound, axis=1, kind="stable")
         bound = np.take_along_axis(bound, order, axis=1)
-        who, rows, sims = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
-        left = None if but is None else np.array(but)
-        done, turn, least = 0, FIRST_TURN, np.full(m, 1e-12)
+        rough = np.full((m, blocks, BLOCK), -1, dtype=np.float32)  # cosines with the rows of the blocks visited
+        flat = rough.reshape(m, -1)
+        own = np.array([(i, self.place[r]) for i, r in enumerate(but or []) if r >= 0], dtype=np.int64).reshape(-1, 2).T
+        # below this a row is not among the k nearest, however the sums round
+        least = np.zeros(m)
+        done, turn = 0, FIRST_TURN
         while done < blocks:
-            go = bound[:, done:done + turn] >= least[:, None] - 1e-9
+            go = bound[:, done:done + turn] >= np.maximum(least, TINY)[:, None]
             if not go.any():
                 break
-            pair, block = np.nonzero(go)
-            block = order[pair, done + block]
-            new = self._visit(q, pair, block, seg, seg_weight, cell)
-            # only rows that can still be among the k nearest go on
-            i, at = np.nonzero(new[2] >= least[new[0]][:, None] - 1e-8)
-            new_sims = new[2][i, at]
-            r = self.number[new[1][i] * BLOCK + at]
-            i = new[0][i]
-            if left is not None:
-                other = r != left[i]
-                i, new_sims, r = i[other], new_sims[other], r[other]
-            who, rows, sims = np.concatenate([who, i]), np.concatenate([rows, r]), np.concatenate([sims, new_sims])
-            by = np.lexsort((rows, -np.round(sims, 9), who))
-            who, rows, sims = who[by], rows[by], sims[by]
-            rank = np.arange(len(who)) - np.searchsorted(who, who)
-            best = rank < k
-            who, rows, sims, rank = who[best], rows[best], sims[best], rank[best]
-            least[who[rank == k - 1]] = sims[rank == k - 1]
+            who, block = np.nonzero(go)
+            self._visit(rough_q, rough_rare, rough, who, order[who, done + block])
+            flat[own[0], own[1]] = -1
             done, turn = done + turn, turn * TURN_GROWTH
+            for i in range(m if done < blocks else 0):
+                seen = rough[i, order[i, :done]].ravel()
+                if len(seen) > k:
+                    least[i] = max(least[i], np.partition(seen, -k)[-k] - 2 * SLACK)
+        if blocks > k:  # the k best blocks hold k rows
+            least = np.maximum(least, np.partition(rough.max(axis=2), -k, axis=1)[:, -k] - 2 * SLACK)
         self.searched += m
-        edges = np.searchsorted(who, np.arange(m + 1))
-        some = sims > 1e-12
-        return [(rows[a:z][some[a:z]], sims[a:z][some[a:z]]) for a, z in zip(edges[:-1], edges[1:], strict=True)]
-
-    def _visit(self, q: np.ndarray, who: np.ndarray, block: np.ndarray, seg: np.ndarray, seg_weight: np.ndarray,
-               cell: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, block, cosines with the block's rows) of pairs of a query
-        and a block, by block."""
+        return [self._best(flat[i], least[i], rare[i], q[:, i], k) for i in range(m)]
+
+    def _visit(self, q: np.ndarray, rare: np.ndarray, rough: np.ndarray, who: np.ndarray, block: np.ndarray) -> None:
+        """Rough cosines of pairs of a query and a block, block by block."""
         by = np.argsort(block, kind="stable")
         who, block = who[by], block[by]
         self.visited += len(who)
-        cosines = np.empty((len(who), BLOCK))
         edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            cosines[a:z] = product(q[who[a:z]], self.dense[block[a]])
-        slot = np.full(len(q) * self.n_blocks, -1, dtype=np.int64)
-        slot[who * self.n_blocks + block] = np.arange(len(who))
-        slot = slot[cell]
-        here = np.flatnonzero(slot >= 0)
-        seg, seg_weight, slot = seg[here], seg_weight[here], slot[here]
-        size = self.segment[seg + 1] - self.segment[seg]
-        p = np.repeat(self.segment[seg] - np.cumsum(size, dtype=np.int32) + size, size) + np.arange(size.sum(), dtype=np.int32)
-        place = np.repeat(slot * BLOCK, size) + self.inside[p]
-        cosines += np.bincount(place, np.repeat(seg_weight, size) * self.weight[p], cosines.size).reshape(cosines.shape)
-        return who, block, cosines
+            some, b = who[a:z], int(block[a])
+            rough[some, b] = product(q[b // GROUP, some], self.rough[b]) + rare[some, b]
+
+    def _best(self, rough: np.ndarray, least: float, rare: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest by exact cosines of the rows that can be among them."""
+        at = np.flatnonzero((rough > 0) & (rough >= least))
+        if len(at) > k:
+            near = rough[at]
+            at = at[near >= np.partition(near, -k)[-k] - 2 * SLACK]
+        rows, sims = self.number[at], rare[at] + (self.dense[at] * q[at // (BLOCK * GROUP)]).sum(axis=1)
+        by = np.lexsort((rows, -np.round(sims, 9)))[:k]
+        by = by[sims[by] > TINY]
+        return rows[by], sims[by]
 
 
 def vote(y: np.ndarray, sims: np.ndarray) -> float:
@@ -395,8 +433,7 @@ class _Searcher:
 
     def __init__(self, examples: Examples):
         self.examples = examples
-        self.vectors = [examples.vector(i) for i in range(len(examples))]
-        self.index = BlockMaxIndex(self.vectors, len(examples.vocabulary))
+        self.index = BlockMaxIndex([examples.vector(i) for i in range(len(examples))], len(examples.vocabulary))
         self.words = WordScores(examples)
         self.scored: dict[bytes, tuple[float, list[dict]]] = {}
 
@@ -444,7 +481,7 @@ class ToxicityModel:
             s = _searcher(name, shared)
             for b in it:
                 own = b["id"].tolist()
-                yield pd.DataFrame({"id": own, "x": [x for x, _, _ in s.features([s.vectors[i] for i in own], own)]})
+                yield pd.DataFrame({"id": own, "x": [x for x, _, _ in s.features([s.examples.vector(i) for i in own], own)]})
 
         parts = max(1, min(n // 200, 2 * spark.sparkContext.defaultParallelism))
         rows = spark.range(0, n, 1, parts).mapInPandas(run, "id long, x array<double>").collect()  # one row an example
@@ -458,6 +495,9 @@ class ToxicityModel:
         """Score and evidence of each text."""
         if self.steps is None:
             return [(self.rate, [])] * len(texts)
+        return [x for at in range(0, len(texts), PIECE) for x in self._piece(texts.iloc[at:at + PIECE], known)]
+
+    def _piece(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
         s = _searcher(self.name, self.shared)
         centre, scale, w = self.steps
         e = s.examples

@@ -202,3 +202,42 @@ def test_samples_of_huge_tables_are_not_empty(spark):
     labels = spark.range(10).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic", "'' AS terms")
     with pytest.raises(ValueError):
         t.training_sample(labels, "toxic", F.lit(True), 0)
+
+
+def test_each_group_of_blocks_has_its_own_dense_words():
+    # four languages of 250 words: 256 columns for all rows would leave most words to postings
+    r = np.random.default_rng(3)
+    rows = [(g * 250 + a, w) for g in range(4) for a, w in _unit(r, t.BLOCK * t.GROUP, 250, 30)]
+    index = t.BlockMaxIndex(rows, 1000)
+    assert len(index.weight) < 0.1 * sum(len(a) for a, _ in rows)
+    dense = np.zeros((len(rows), 1000))
+    for i, (a, w) in enumerate(rows):
+        dense[i, a] = w
+    some = list(range(0, len(rows), 97))
+    for i, (got, s) in zip(some, index.nearest([rows[i] for i in some], 50, some)):
+        sims = dense @ dense[i]
+        want = [j for j in np.lexsort((np.arange(len(rows)), -np.round(sims, 9))) if sims[j] > 1e-12 and j != i][:50]
+        assert got.tolist() == want and np.allclose(s, sims[want], atol=1e-12)
+
+
+def test_cosines_closer_than_single_precision_are_ranked():
+    r = np.random.default_rng(5)
+    base = r.random(300) + 0.1
+    rows = []
+    for i in r.permutation(400):
+        w = base.copy()
+        w[0] += i * 1e-6
+        rows.append((np.arange(300), w / np.linalg.norm(w)))
+    query = np.arange(300), base / np.linalg.norm(base)
+    sims = np.array([w @ query[1] for _, w in rows])
+    [(got, s)] = t.BlockMaxIndex(rows, 300).nearest([query], 50)
+    assert got.tolist() == np.lexsort((np.arange(400), -np.round(sims, 9)))[:50].tolist() and np.allclose(s, sims[got], atol=1e-14)
+
+
+@pytest.mark.parametrize("text", [None, "", "one Two two", "don't 4x4 a_b", "Über Maß straße", "naïve – “quoted” naïve", "İstanbul I", "русский текст, текст", "x² ½ ٣ 中文 字", "\U0001f600 smile", "a\x00b\x85c\xa0d", "é"])
+def test_words_split_by_bytes_are_those_of_the_pattern(text):
+    known = t.WordHash()
+    h, n = np.unique(known.array(t.words_of(text)), return_counts=True)
+    got, counts = t.word_counts(text, known)
+    assert got.tolist() == h.tolist() and counts.tolist() == n.tolist()
+    assert t.distinct_words(text, known).tolist() == h.tolist()

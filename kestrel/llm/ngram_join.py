@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.components import connected_components, join_groups
-from kestrel.llm.text import WordHash, mix, split_words, words_key
+from kestrel.llm.text import WordHash, forget, mix, split_words, words_key
 from kestrel.storage import broadcast_if_small, materialize
 
 GRAM = 5
@@ -94,6 +94,7 @@ def band_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """(doc_id, key, bands) of every document with a word; key is its word
     sequence's 128-bit hash."""
     def sign(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         known = WordHash()
         for whole in it:
             for at in range(0, len(whole), 250):
@@ -183,6 +184,7 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: flo
     texts = texts.select("d.key", "grp", "size", "copies", "text")
 
     def grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         known = WordHash()
         for b in it:
             b["grams"] = [gram_hashes(split_words(t), known).tobytes() for t in b.pop("text")]

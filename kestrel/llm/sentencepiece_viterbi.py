@@ -35,6 +35,7 @@ UNKNOWN_PENALTY = 10.0
 _IRREGULAR = re.compile(r"  |^ |▁")
 _RUNS = re.compile(r"\n|▁+[^▁\n]*|[^▁\n]+")
 _END = ""  # key of a node's own piece
+PIECE = 1000  # texts encoded at once
 
 
 class Encoder:
@@ -139,15 +140,20 @@ class Encoder:
         return text[1:]  # the leading mark
 
 
+def encoded(batches: Iterator[pd.Series], enc: Encoder) -> Iterator[pd.DataFrame]:
+    """(n_tokens, ids) of the texts, in frames of at most ``PIECE`` rows: only
+    the ids of one are in memory."""
+    for texts in batches:
+        for at in range(0, len(texts), PIECE):
+            ids = [np.frombuffer(x, dtype="<i4") for x in enc.encode([t or "" for t in texts.iloc[at:at + PIECE]])]
+            yield pd.DataFrame({"n_tokens": [len(x) for x in ids], "ids": ids})
+
+
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of every document."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         forget()
-        enc = Encoder(model_file)
-        for texts in batches:
-            ids = [np.frombuffer(x, dtype="<i4") for at in range(0, len(texts), 1000)
-                   for x in enc.encode([t or "" for t in texts.iloc[at:at + 1000]])]
-            yield pd.DataFrame({"n_tokens": [len(x) for x in ids], "ids": ids})
+        yield from encoded(batches, Encoder(model_file))
 
     v = F.pandas_udf(run, "n_tokens long, ids array<int>")(F.col("text"))
     return docs.select("doc_id", v.alias("v")).select("doc_id", "v.n_tokens", "v.ids")

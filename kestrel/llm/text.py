@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Collection
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,9 +55,16 @@ def keep(user: str, name: str, build: Callable[[], object]) -> object:
     return _kept[user][1]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)  # glibc has it
+
+
 def forget() -> None:
-    """Another operator's tasks begin: nothing of earlier ones stays in memory."""
+    """Another operator's tasks begin: nothing of earlier ones stays in memory,
+    and what they have freed goes back to the system, as Spark uses a Python
+    worker again for later stages."""
     _kept.clear()
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 def split_words(text: str | None) -> list[str]:

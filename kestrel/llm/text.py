@@ -48,10 +48,12 @@ _kept: dict[str, tuple[str, object]] = {}
 
 def keep(user: str, name: str, build: Callable[[], object]) -> object:
     """``build()`` of ``user``, kept by the worker for the tasks that follow
-    under the same ``name``; what other users had kept goes."""
+    under the same ``name``; what other users had kept goes, and so does what
+    building it took for a while."""
     if _kept.get(user, (None,))[0] != name:
-        _kept.clear()
+        forget()
         _kept[user] = name, build()
+        _trim(0)
     return _kept[user][1]
 
 

@@ -41,7 +41,8 @@ import os
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.text import WordHash, drawn, keep
+from kestrel.llm.text import WordHash, drawn, forget, keep
 from kestrel.storage import materialize
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -60,9 +61,11 @@ STRONGEST = 3
 EVIDENCE = 3
 CUT = 0.5
 #: words kept as dense columns of a group of blocks, the others are postings; blocks of a group
-MAX_DENSE, GROUP = 256, 32
-#: groups that examples are ordered by
-CLUSTERS = 32
+MAX_DENSE, GROUP = 256, 8
+#: groups that examples are ordered by, and the words that this goes by
+CLUSTERS, MAX_COMMON = 32, 256
+#: vectors laid end to end at once, entries whose columns are looked up at once, parts of the vocabulary whose postings are sorted in turn
+LAID, ENTRIES, PARTS = 1000, 1 << 19, 8
 #: texts searched at once, blocks visited in a query's first turn, growth of the later turns, words counted on at once
 BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 64, 4, 8, 65_536
 #: more than rounding can move a single-precision cosine of MAX_DENSE columns; cosines up to TINY count as 0
@@ -145,9 +148,11 @@ class Examples:
 
     def __init__(self, doc_id: list[int], y: list[int], words: list[np.ndarray], counts: list[np.ndarray]):
         self.doc_id, self.y = np.array(doc_id, dtype=np.int64), np.array(y, dtype=float)
-        flat = np.concatenate([np.empty(0, np.uint64), *words])
-        self.vocabulary = np.unique(flat)
-        self.word = np.searchsorted(self.vocabulary, flat).astype(np.int32)
+        # some examples at a time: all their hashes, sorted, would be several times the arrays that stay
+        self.vocabulary = np.empty(0, np.uint64)
+        for at in range(0, len(words), LAID):
+            self.vocabulary = np.union1d(self.vocabulary, np.concatenate(words[at:at + LAID]))
+        self.word = np.concatenate([np.empty(0, np.int32), *(np.searchsorted(self.vocabulary, h).astype(np.int32) for h in words)])
         self.count = np.concatenate([np.empty(0, np.int32), *counts])
         self.start = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
         self.idf, self.unseen = np.ones(len(self.vocabulary)), 1.0
@@ -177,6 +182,7 @@ class Examples:
 def read_examples(examples: DataFrame) -> Examples:
     """Words of every example, a partition at a time in the driver's JVM."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         known = WordHash()
         for b in it:
             found = [word_counts(t, known) for t in b["text"]]
@@ -193,6 +199,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         known, words = _worker_words(), shared.value
         n = np.zeros(len(words) + 1, dtype=np.int64)
         for b in batches:
@@ -245,51 +252,91 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def most_frequent(word: np.ndarray, n_words: int, most: int) -> np.ndarray:
+    counts = np.bincount(word, minlength=n_words)
+    return np.argpartition(-counts, most)[:most].copy() if n_words > most else np.arange(n_words)  # no view of the whole order
+
+
+def laid(vectors: Iterable[Vector]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, weights, lengths) of the vectors end to end, ``LAID`` at a time."""
+    vectors = iter(vectors)
+    while some := list(islice(vectors, LAID)):
+        yield np.concatenate([t for t, _ in some]).astype(np.int32), np.concatenate([w for _, w in some]), np.array([len(t) for t, _ in some])
+
+
 class BlockMaxIndex:
     """Unit vectors (words, weights) as blocks of rows. ``GROUP`` blocks share
     dense columns of the words that are most frequent in them, with each
     column's largest weight in each block; the other words are postings. The
     dense columns lie there twice: in single precision to bound and to select,
-    in double precision for the cosines."""
+    in double precision for the cosines. Built a part at a time where a step
+    would need several times the memory of what stays."""
 
-    def __init__(self, vectors: list[Vector], n_words: int):
-        self.n, self.n_blocks = len(vectors), max(1, -(-len(vectors) // BLOCK))
-        word = np.concatenate([np.empty(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
-        weight = np.concatenate([np.empty(0), *(w for _, w in vectors)])
-        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in vectors])
+    def __init__(self, vectors: Iterable[Vector], n_words: int):
+        word, weight, lengths = map(np.concatenate, zip((np.empty(0, np.int32), np.empty(0), np.empty(0, np.int64)), *laid(vectors), strict=True))
+        self.n, self.n_blocks = len(lengths), max(1, -(-len(lengths) // BLOCK))
+        row = np.repeat(np.arange(self.n, dtype=np.int32), lengths)
         # rows in an order that puts like ones beside each other
-        self.common = self._columns(np.bincount(word, minlength=n_words))
-        dense, often = self._dense(row, self.common[word], weight)
-        order, centres = like_order(dense[:self.n]) if self.n else (np.empty(0, dtype=np.int64), np.zeros((1, MAX_DENSE)))
+        frequent = most_frequent(word, n_words, MAX_COMMON)
+        self.common = np.full(n_words, -1, dtype=np.int16)
+        self.common[frequent] = np.arange(len(frequent))
+        order, centres = self._order(row, word, weight)
         self.centres = np.ascontiguousarray(centres.T)
         self.number = np.full(self.n_blocks * BLOCK, -1, dtype=np.int64)  # place -> row
         self.number[:self.n] = order
         self.place = np.empty(self.n, dtype=np.int32)
         self.place[order] = np.arange(self.n)
         at = self.place[row]
-        group = at // (BLOCK * GROUP)
-        self.columns = np.stack([self._columns(np.bincount(word[group == g], minlength=n_words)) for g in range(-(-self.n_blocks // GROUP))], axis=1)  # a word's columns lie together
-        self.dense, often = self._dense(at, self.columns[word, group], weight)
-        self.rough = self.dense.astype(np.float32).reshape(self.n_blocks, BLOCK, -1)
-        self.rough_max = self.rough.max(axis=1)
-        word, weight, at = word[~often], weight[~often], at[~often]
-        by = np.lexsort((at, word))
-        self.weight, self.at = weight[by], at[by]
-        self.postings_of = np.searchsorted(word[by], np.arange(n_words + 1, dtype=np.int32))
+        del row
+        often = self._add_columns(word, weight, at, n_words)
+        often = ~often
+        word = word[often]
+        weight = weight[often]
+        at = at[often]
+        self._add_postings(word, weight, at, n_words)
         self.visited = self.searched = 0
 
-    @staticmethod
-    def _columns(counts: np.ndarray) -> np.ndarray:
-        """The column of each word, -1 for those without."""
-        out = np.full(len(counts), -1, dtype=np.int16)
-        frequent = np.argsort(-counts, kind="stable")[:MAX_DENSE]
-        out[frequent] = np.arange(len(frequent))
-        return out
-
-    def _dense(self, at: np.ndarray, column: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        out, often = np.zeros((self.n_blocks * BLOCK, MAX_DENSE)), column >= 0
-        out[at[often], column[often]] = weight[often]
-        return out, often
+    def _order(self, row: np.ndarray, word: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not self.n:
+            return np.empty(0, dtype=np.int64), np.zeros((1, MAX_COMMON), np.float32)
+        column = self.common[word]
+        often = column >= 0
+        dense = np.zeros((self.n, MAX_COMMON), np.float32)
+        dense[row[often], column[often]] = weight[often]
+        return like_order(dense)
+
+    def _add_columns(self, word: np.ndarray, weight: np.ndarray, at: np.ndarray, n_words: int) -> np.ndarray:
+        """Lays the dense columns; which entries are in them."""
+        group, n = (at // (BLOCK * GROUP)).astype(np.int16), -(-self.n_blocks // GROUP)
+        frequent = [most_frequent(word[group == g], n_words, MAX_DENSE) for g in range(n)]
+        # a word's columns lie together; the words without any share the first line
+        used = np.unique(np.concatenate(frequent))
+        self.line = np.zeros(n_words, dtype=np.int32)
+        self.line[used] = np.arange(1, len(used) + 1)
+        self.columns = np.full((len(used) + 1, n), -1, dtype=np.int16)
+        for g, words in enumerate(frequent):
+            self.columns[self.line[words], g] = np.arange(len(words))
+        often = np.empty(len(word), dtype=bool)
+        self.dense = np.zeros((self.n_blocks * BLOCK, MAX_DENSE))
+        for a in range(0, len(word), ENTRIES):
+            here = slice(a, a + ENTRIES)
+            column = self.columns[self.line[word[here]], group[here]]
+            often[here] = some = column >= 0
+            self.dense[at[here][some], column[some]] = weight[here][some]
+        self.rough = self.dense.astype(np.float32).reshape(self.n_blocks, BLOCK, MAX_DENSE)
+        self.rough_max = self.rough.max(axis=1)
+        return often
+
+    def _add_postings(self, word: np.ndarray, weight: np.ndarray, at: np.ndarray, n_words: int) -> None:
+        """Lays the postings, by word, then place."""
+        self.postings_of = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n_words))])
+        self.weight, self.at = np.empty(len(word)), np.empty(len(word), np.int32)
+        edges = np.searchsorted(self.postings_of, np.linspace(0, len(word), PARTS + 1)).tolist()
+        for a, z in pairwise([0, *edges[1:-1], n_words]):
+            some = np.flatnonzero((word >= a) & (word < z))
+            some = some[np.lexsort((at[some], word[some]))]
+            here = slice(self.postings_of[a], self.postings_of[z])
+            self.weight[here], self.at[here] = weight[some], at[some]
 
     def nearest(self, queries: list[Vector], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, cosines) of the k nearest of each query with a cosine above
@@ -324,9 +371,11 @@ class BlockMaxIndex:
         m, blocks = len(queries), self.n_blocks
         q, rare = np.zeros((self.columns.shape[1], m, MAX_DENSE)), np.empty((m, blocks * BLOCK))
         for i, (word, weight) in enumerate(queries):
-            column = self.columns[word]
+            line = self.line[word]
+            often = np.flatnonzero(line)
+            column = self.columns[line[often]]
             j, group = np.nonzero(column >= 0)
-            q[group, i, column[j, group]] = weight[j]
+            q[group, i, column[j, group]] = weight[often[j]]
             rare[i] = self._rare(word, weight)
         rough_q, rough_rare = q.astype(np.float32), rare.astype(np.float32).reshape(m, blocks, BLOCK)
         bound = np.concatenate([product(rough_q[g], self.rough_max[g * GROUP:(g + 1) * GROUP]) for g in range(len(q))], axis=1)
@@ -392,7 +441,7 @@ class WordScores:
         self.toxic, self.clean, self.n = np.zeros(size), np.zeros(size), [0, 0]
         for i in range(len(examples)):
             a, z = examples.start[i], examples.start[i + 1]
-            key = examples.y[i], examples.word[a:z].tobytes(), examples.count[a:z].tobytes()
+            key = examples.y[i], xxhash.xxh3_128_digest(examples.word[a:z].tobytes() + examples.count[a:z].tobytes())
             if key not in seen:
                 seen.add(key)
                 (self.toxic if examples.y[i] else self.clean)[examples.word[a:z]] += 1
@@ -433,7 +482,7 @@ class _Searcher:
 
     def __init__(self, examples: Examples):
         self.examples = examples
-        self.index = BlockMaxIndex([examples.vector(i) for i in range(len(examples))], len(examples.vocabulary))
+        self.index = BlockMaxIndex(map(examples.vector, range(len(examples))), len(examples.vocabulary))
         self.words = WordScores(examples)
         self.scored: dict[bytes, tuple[float, list[dict]]] = {}
 

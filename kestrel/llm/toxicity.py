@@ -20,6 +20,10 @@
    text equal to examples takes their smoothed rate. Evidence: the nearest toxic
    examples with their cosines.
 
+Every text's words are split, hashed and looked up among the examples' words
+once: places and counts go to the shared folder (a packed ``bag``), which the
+document frequencies and the scores are read from.
+
 The examples' arrays are broadcast once (bounded by ``MAX_EXAMPLES``); a Python
 worker builds the index from them when it first needs it and keeps it for its
 later tasks. The driver holds these arrays, no texts and no index; the
@@ -39,6 +43,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -142,6 +147,27 @@ def positions(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nda
     return here, at[here]
 
 
+def bag(h: np.ndarray, c: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(vocabulary positions of a text's words, their counts, squared length
+    of its other words by their counts alone)."""
+    here, at = positions(h, vocabulary)
+    return at, c[here], float(((1 + np.log(c[~here])) ** 2).sum())
+
+
+def packed(at: np.ndarray, c: np.ndarray, other: float) -> bytes:
+    """A ``bag`` as bytes: gaps between positions and counts in the narrowest
+    integers that hold them."""
+    gaps = np.diff(at, prepend=0)
+    gaps, c = (x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (gaps, c))
+    return struct.pack("<dBB", other, gaps.itemsize, c.itemsize) + gaps.tobytes() + c.tobytes()
+
+
+def unpacked(x: bytes) -> tuple[np.ndarray, np.ndarray, float]:
+    other, i, j = struct.unpack_from("<dBB", x)
+    n = (len(x) - 10) // (i + j)
+    return np.cumsum(np.frombuffer(x, f"<u{i}", n, 10), dtype=np.int64), np.frombuffer(x, f"<u{j}", n, 10 + i * n).astype(np.int64), other
+
+
 class Examples:
     """The bounded example set in plain arrays: doc_id, label, and the words'
     vocabulary positions and counts, example after example."""
@@ -172,10 +198,12 @@ class Examples:
     def query(self, h: np.ndarray, c: np.ndarray) -> Vector:
         """Unit vector of any text over the vocabulary; its other words count
         in its length."""
-        here, at = positions(h, self.vocabulary)
-        tf = 1 + np.log(c)
-        w = tf[here] * self.idf[at]
-        length = np.sqrt((w * w).sum() + ((tf[~here] * self.unseen) ** 2).sum())
+        return self.unit(*bag(h, c, self.vocabulary))
+
+    def unit(self, at: np.ndarray, c: np.ndarray, other: float) -> Vector:
+        """``query`` of a ``bag``."""
+        w = (1 + np.log(c)) * self.idf[at]
+        length = np.sqrt((w * w).sum() + other * self.unseen ** 2)
         return at, w / length if len(at) else w
 
 
@@ -193,19 +221,29 @@ def read_examples(examples: DataFrame) -> Examples:
     return Examples([r[0] for r in rows], [r[1] for r in rows], [np.frombuffer(r[2], np.uint64) for r in rows], [np.frombuffer(r[3], np.int32) for r in rows])
 
 
-def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each word of the vocabulary;
-    counted per task, so a chunk of words is one row a task."""
+def bags_of(docs: DataFrame, vocabulary: np.ndarray) -> Column:
+    """The packed ``bag`` of each text: words are split and looked up once, for
+    the document frequencies and for the scores."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         forget()
         known, words = _worker_words(), shared.value
-        n = np.zeros(len(words) + 1, dtype=np.int64)
+        for texts in batches:
+            yield pd.Series([packed(*bag(*word_counts(t, known), words)) for t in texts], dtype=object)
+
+    return F.pandas_udf(run, "binary")(docs["text"])
+
+
+def document_frequencies(bags: DataFrame, size: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each of the ``size`` words of the
+    vocabulary; counted per task, so a chunk of words is one row a task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(size + 1, dtype=np.int64)
         for b in batches:
-            for t in b["text"]:
-                n[positions(distinct_words(t, known), words)[1]] += 1
-                n[-1] += 1
+            for x in b["bag"]:
+                n[unpacked(x)[0]] += 1
+            n[-1] += len(b)
         at = range(0, len(n), CHUNK)
         yield pd.DataFrame({"chunk": [a // CHUNK for a in at], "n": [n[a:a + CHUNK].tobytes() for a in at]})
 
@@ -214,10 +252,9 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "n": [total.tobytes()]})
 
     schema = "chunk int, n binary"
-    rows = docs.select("text").mapInPandas(run, schema).groupBy("chunk").applyInPandas(add, schema).collect()
-    shared.unpersist()
+    rows = bags.select("bag").mapInPandas(run, schema).groupBy("chunk").applyInPandas(add, schema).collect()
     if not rows:
-        return 0, np.zeros(len(vocabulary), dtype=np.int64)
+        return 0, np.zeros(size, dtype=np.int64)
     n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in sorted(rows, key=lambda r: r["chunk"])])
     return int(n[-1]), n[:-1]
 
@@ -540,17 +577,17 @@ class ToxicityModel:
         voted = ~np.isnan(x[:, 0])
         return logistic(x[voted], y[voted]) if voted.any() else None
 
-    def scores(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
-        """Score and evidence of each text."""
+    def scores(self, bags: pd.Series) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of the text of each packed ``bag``."""
         if self.steps is None:
-            return [(self.rate, [])] * len(texts)
-        return [x for at in range(0, len(texts), PIECE) for x in self._piece(texts.iloc[at:at + PIECE], known)]
+            return [(self.rate, [])] * len(bags)
+        return [x for at in range(0, len(bags), PIECE) for x in self._piece(bags.iloc[at:at + PIECE])]
 
-    def _piece(self, texts: pd.Series, known: WordHash) -> list[tuple[float, list[dict]]]:
+    def _piece(self, bags: pd.Series) -> list[tuple[float, list[dict]]]:
         s = _searcher(self.name, self.shared)
         centre, scale, w = self.steps
         e = s.examples
-        queries = [e.query(*word_counts(t, known)) for t in texts]
+        queries = [e.unit(*unpacked(x)) for x in bags]
         keys = [xxhash.xxh3_128_digest(w.tobytes() + x.tobytes()) for w, x in queries]
         # copies of a text, in this batch or an earlier one, are scored once
         new = {key: q for key, q in zip(keys, queries, strict=True) if key not in s.scored}
@@ -571,34 +608,40 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    return _fit(docs, labels, "doc_id")[0]
+
+
+def _fit(docs: DataFrame, labels: DataFrame, *columns: str | Column) -> tuple[ToxicityModel, DataFrame]:
+    """(model, ``columns`` and the ``bag`` of every document)."""
     sample = materialize(training_sample(labels, "toxic", ~held_out(), MAX_EXAMPLES), "toxic-sample")
     picked = F.broadcast(sample)  # at most about MAX_EXAMPLES rows
     examples = read_examples(materialize(docs.select("doc_id", "text").join(picked, "doc_id"), "toxic-examples"))
+    bags = materialize(docs.select(*columns, bags_of(docs, examples.vocabulary).alias("bag")), "toxic-bags")
     if len(examples):
-        examples.weigh(*document_frequencies(docs, examples.vocabulary))
-    return ToxicityModel(docs.sparkSession, examples)
+        examples.weigh(*document_frequencies(bags, len(examples.vocabulary)))
+    return ToxicityModel(docs.sparkSession, examples), bags
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every document."""
-    model = fit(docs, labels)
+    model, bags = _fit(docs, labels, "doc_id")
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            out = model.scores(texts, _worker_words())
+        for some in batches:
+            out = model.scores(some)
             yield pd.DataFrame({"score": [x[0] for x in out], "evidence": [x[1] for x in out]})
 
     scorer = F.pandas_udf(run, "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>")
-    s = docs.select("doc_id", scorer(F.col("text")).alias("s"))
+    s = bags.select("doc_id", scorer(F.col("bag")).alias("s"))
     return s.select("doc_id", held_out().alias("held_out"), "s.score", (F.col("s.score") >= CUT).cast("int").alias("predicted"), "s.evidence")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged."""
-    model = fit(docs, labels)
+    model, bags = _fit(docs, labels, F.struct("*").alias("doc"))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([x[0] for x in model.scores(texts, _worker_words())], dtype=float)
+        for some in batches:
+            yield pd.Series([x[0] for x in model.scores(some)], dtype=float)
 
-    return docs.where(F.pandas_udf(run, "double")(docs["text"]) < CUT)
+    return bags.where(F.pandas_udf(run, "double")(F.col("bag")) < CUT).select("doc.*")

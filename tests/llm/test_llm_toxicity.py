@@ -241,3 +241,29 @@ def test_words_split_by_bytes_are_those_of_the_pattern(text):
     got, counts = t.word_counts(text, known)
     assert got.tolist() == h.tolist() and counts.tolist() == n.tolist()
     assert t.distinct_words(text, known).tolist() == h.tolist()
+
+
+@pytest.mark.parametrize("at,n", [([], []), ([0], [1]), ([3, 258, 259], [255, 1, 256]), ([70_000, 5_000_000_000], [1, 70_000])])
+def test_bags_come_back_from_their_bytes(at, n):
+    got = t.unpacked(t.packed(np.array(at, dtype=np.int64), np.array(n, dtype=np.int64), 2.5))
+    assert got[0].tolist() == at and got[1].tolist() == n and got[2] == 2.5
+
+
+def test_words_are_split_once(spark):
+    rows, labels = _labelled(50)
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, LABELS)
+    for got in t.score(docs, labels), t.drop_toxic(docs, labels):  # both score what was written beside the document frequencies
+        assert got.inputFiles() and all("toxic-bags" in f for f in got.inputFiles())
+
+
+def test_bags_give_the_vectors_of_their_texts():
+    known = t.WordHash()
+    words = [t.word_counts(x, known) for x in ("a a b c", "b d")]
+    e = t.Examples([0, 1], [0, 1], [h for h, _ in words], [c.astype(np.int32) for _, c in words])
+    e.weigh(4, np.array([1, 2, 3, 1]))
+    h, c = t.word_counts("a b b z z z y", known)
+    at, w = e.unit(*t.unpacked(t.packed(*t.bag(h, c, e.vocabulary))))
+    place = [int(np.searchsorted(e.vocabulary, known[x])) for x in "ab"]
+    a, b = e.idf[place[0]], (1 + np.log(2)) * e.idf[place[1]]
+    size = np.sqrt(a * a + b * b + ((1 + np.log(3)) ** 2 + 1) * e.unseen ** 2)
+    assert dict(zip(at.tolist(), w.tolist())) == pytest.approx({place[0]: a / size, place[1]: b / size})

@@ -76,11 +76,11 @@ BATCH, FIRST_TURN, TURN_GROWTH, CHUNK = 64, 4, 8, 65_536
 #: more than rounding can move a single-precision cosine of MAX_DENSE columns; cosines up to TINY count as 0
 SLACK, TINY = 2e-5, 1e-12
 #: texts whose vectors are held at once
-PIECE = 2048
+PIECE = 512
 #: multiplications up to which a matrix product stays on one thread
 ONE_THREAD = 1 << 17
 #: scores that a worker remembers by vector
-MAX_SCORED = 20_000
+MAX_SCORED = 5_000
 #: cosines from here on are those of equal vectors
 EQUAL = 1 - 1e-9
 
@@ -154,11 +154,15 @@ def bag(h: np.ndarray, c: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarra
     return at, c[here], float(((1 + np.log(c[~here])) ** 2).sum())
 
 
+def narrowest(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the smallest integers that hold them."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def packed(at: np.ndarray, c: np.ndarray, other: float) -> bytes:
     """A ``bag`` as bytes: gaps between positions and counts in the narrowest
     integers that hold them."""
-    gaps = np.diff(at, prepend=0)
-    gaps, c = (x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (gaps, c))
+    gaps, c = narrowest(np.diff(at, prepend=0)), narrowest(c)
     return struct.pack("<dBB", other, gaps.itemsize, c.itemsize) + gaps.tobytes() + c.tobytes()
 
 
@@ -179,7 +183,7 @@ class Examples:
         for at in range(0, len(words), LAID):
             self.vocabulary = np.union1d(self.vocabulary, np.concatenate(words[at:at + LAID]))
         self.word = np.concatenate([np.empty(0, np.int32), *(np.searchsorted(self.vocabulary, h).astype(np.int32) for h in words)])
-        self.count = np.concatenate([np.empty(0, np.int32), *counts])
+        self.count = narrowest(np.concatenate([np.empty(0, np.int32), *counts]))
         self.start = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
         self.idf, self.unseen = np.ones(len(self.vocabulary)), 1.0
 
@@ -192,7 +196,7 @@ class Examples:
 
     def vector(self, i: int) -> Vector:
         a, z = self.start[i], self.start[i + 1]
-        w = (1 + np.log(self.count[a:z])) * self.idf[self.word[a:z]]
+        w = (1 + np.log(self.count[a:z].astype(np.int64))) * self.idf[self.word[a:z]]
         return self.word[a:z], w / np.sqrt((w * w).sum()) if z > a else w
 
     def query(self, h: np.ndarray, c: np.ndarray) -> Vector:

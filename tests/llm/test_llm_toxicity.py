@@ -267,3 +267,12 @@ def test_bags_give_the_vectors_of_their_texts():
     a, b = e.idf[place[0]], (1 + np.log(2)) * e.idf[place[1]]
     size = np.sqrt(a * a + b * b + ((1 + np.log(3)) ** 2 + 1) * e.unseen ** 2)
     assert dict(zip(at.tolist(), w.tolist())) == pytest.approx({place[0]: a / size, place[1]: b / size})
+
+
+def test_counts_are_held_narrow_and_weighed_in_double_precision():
+    h = np.array([1, 2], dtype=np.uint64)
+    for many, size in ((200, 1), (40_000, 2), (70_000, 4)):
+        e = t.Examples([0], [0], [h], [np.array([1, many], dtype=np.int32)])
+        assert e.count.itemsize == size
+        w = np.array([1, 1 + np.log(many)])
+        assert np.allclose(e.vector(0)[1], w / np.sqrt((w * w).sum()), rtol=1e-15)

@@ -167,7 +167,9 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
                 if p != q:
                     parent[max(p, q, key=keys.__getitem__)] = min(p, q, key=keys.__getitem__)
     hit = np.flatnonzero(links)
-    return pd.DataFrame({"key": [keys[i] for i in hit], "root": [keys[find(i)] for i in hit], "links": links[hit]})
+    # text also where the task has no link: an empty list would be a column of numbers, which Spark does not take as text
+    text = {"key": [keys[i] for i in hit], "root": [keys[find(i)] for i in hit]}
+    return pd.DataFrame({**{c: pd.Series(v, dtype=object) for c, v in text.items()}, "links": links[hit]})
 
 
 def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:

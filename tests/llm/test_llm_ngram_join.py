@@ -53,6 +53,15 @@ def test_large_group_is_cut_into_blocks(spark, monkeypatch):
     assert _sorted(got) == _sorted(want)
 
 
+def test_task_without_any_link(spark, monkeypatch):
+    """Unlike texts of one candidate group: no pair of blocks has a link."""
+    monkeypatch.setattr(j, "BLOCK", 2)
+    rows = [(i, " ".join(f"w{i}-{x}" for x in range(30)), *edge_rows()[0][2:]) for i in range(9)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    reps = j.band_table(docs, 2, 2).withColumn("copies", F.lit(1).cast("long"))
+    assert j.verified(docs, reps, reps.select("key", F.lit("g").alias("grp")), 0.8).count() == 0
+
+
 def test_empty_table(spark):
     assert j.similar_documents(frame(spark, [])).count() == 0
 
